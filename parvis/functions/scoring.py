@@ -26,14 +26,14 @@ def signal(gap: Column, o: Options) -> Column:
     return (
         F.when(gap < o.undervalued_below, "undervalued")
         .when(gap > o.overvalued_above, "overvalued")
-        .otherwise("fair")
+        .when(gap.isNotNull(), "fair")
     )
 
 
 def signal_strength(gap: Column, o: Options) -> Column:
     strong = (gap < o.strongly_undervalued_below) | (gap > o.strongly_overvalued_above)
     biased = (gap < o.undervalued_below) | (gap > o.overvalued_above)
-    return F.when(strong, "strong").when(biased, "moderate").otherwise("weak")
+    return F.when(strong, "strong").when(biased, "moderate").when(gap.isNotNull(), "weak")
 
 
 def _share(x: Column) -> Column:

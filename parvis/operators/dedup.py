@@ -17,7 +17,12 @@ def with_normal_address(listings: DataFrame) -> DataFrame:
     return listings.withColumn("address_norm", normalize_address(F.col("raw_address")))
 
 
-def mark_exact_duplicates(listings: DataFrame, o: Options = DEFAULTS) -> DataFrame:
+def key_columns(listings: DataFrame) -> DataFrame:
+    """The columns that duplicate removal reads. It reads them often: cut their lineage first."""
+    return with_normal_address(listings).select(*NARROW)
+
+
+def mark_exact_duplicates(keyed: DataFrame, o: Options = DEFAULTS) -> DataFrame:
     """Key columns of every listing, with the cheapest listing of its key where that is another one.
 
     ``kept`` is a struct (price, row_idx, listing_id), null for rows that stay. The first
@@ -26,9 +31,8 @@ def mark_exact_duplicates(listings: DataFrame, o: Options = DEFAULTS) -> DataFra
     with very many copies is never handled by one task. Rows without an address have a
     slice of their own each and find nothing.
     """
-    rows = with_normal_address(listings).select(*NARROW)
     named = F.col("address_norm") != ""
-    rows = rows.withColumn("slice", F.when(named, slice_of("row_idx", o).cast("bigint")).otherwise(F.xxhash64("row_idx")))
+    rows = keyed.withColumn("slice", F.when(named, slice_of("row_idx", o).cast("bigint")).otherwise(F.xxhash64("row_idx")))
     rank = F.struct(
         F.col("asking_price").isNull().alias("unpriced"),
         F.col("asking_price").alias("price"),

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..options import DEFAULTS, Options
+from ..session import task_count
 
 CELL = ["code_postal", "surface_bin", "price_key"]
 # Keys under which a missing price on the first or on the second side meets the other side.
@@ -105,15 +106,16 @@ def _with_gram_keys(sides: list[DataFrame], hot: DataFrame, o: Options) -> list[
     return [a.unionByName(b) for a, b in zip(ordinary, keyed)]
 
 
-def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS) -> DataFrame:
+def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, all_small: bool = False) -> DataFrame:
     """All matches (i, j) with i from ``first`` before j from ``second``.
 
     Inputs hold row_idx, listing_id, address_norm, surface_m2, code_postal, asking_price. The
-    price test is relative to the earlier listing. Blocks are counted first, by a job.
+    price test is relative to the earlier listing. Blocks are counted first, by a job, unless
+    the caller knows that no cell is hot (``all_small``).
     """
     sides = [_cells(first, o, True), _cells(second, o, False)]
     hot = hot_cells(first, second, o)
-    n_hot = hot.count()
+    n_hot = 0 if all_small else hot.count()
     keys = list(CELL)
     if n_hot:
         sides = _with_gram_keys(sides, F.broadcast(hot) if n_hot <= o.broadcast_rows else hot, o)
@@ -123,6 +125,10 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS) -> Da
         side.select(*keys, *[F.col(c).alias(prefix + which) for c, prefix in names.items()])
         for side, which in zip(sides, ("i", "j"))
     ]
+    if not n_hot:
+        # No key is large, and comparing is costlier than its input suggests: use all cores.
+        tasks = task_count(first)
+        left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     c = F.col
     longest = F.greatest(F.length("address_i"), F.length("address_j"))
     shortest = F.least(F.length("address_i"), F.length("address_j"))
@@ -131,11 +137,12 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS) -> Da
         | c("price_j").isNull()
         | (F.abs(c("price_i") - c("price_j")) / F.greatest(c("price_i"), F.lit(1)) <= o.price_tolerance)
     )
-    # The distance stops counting just above the largest one that can pass.
+    # The distance stops counting just above the largest one that can pass and is then -1,
+    # which pmod turns into a distance that cannot pass.
     slack = 1 - o.min_similarity
     distance = F.expr(
-        "levenshtein(address_i, address_j, "
-        f"cast(floor({slack!r}d * greatest(length(address_i), length(address_j))) + 1 as int))"
+        "pmod(levenshtein(address_i, address_j, "
+        f"cast(floor({slack!r}d * greatest(length(address_i), length(address_j))) + 1 as int)), 1 << 30)"
     )
     similarity = 1.0 - distance / longest
     pairs = (
@@ -144,7 +151,7 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS) -> Da
         .filter(F.abs(c("surface_i") - c("surface_j")) <= o.surface_gap)
         .filter(close_price)
         .filter(longest - shortest <= slack * longest + 1e-9)
-        .filter((distance >= 0) & (similarity >= o.min_similarity))
+        .filter(similarity >= o.min_similarity)
         .select("i", "j", "id_i", "id_j", "price_i", "price_j", similarity.alias("similarity"))
     )
     return pairs.dropDuplicates(["i", "j"]) if n_hot else pairs

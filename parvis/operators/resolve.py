@@ -56,9 +56,9 @@ def _first_dominator(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _settle(rows: DataFrame, o: Options) -> tuple[DataFrame, DataFrame]:
+def _settle(rows: DataFrame, o: Options, all_small: bool = False) -> tuple[DataFrame, DataFrame]:
     """All matches among ``rows``, and the passed-over rows with their first dominator."""
-    pairs = cut_lineage(near_pairs(rows, rows, o))
+    pairs = cut_lineage(near_pairs(rows, rows, o, all_small))
     dominations = pairs.filter(_dominates())
     lost = passed_over(dominations)
     if lost is not None:
@@ -100,11 +100,13 @@ def _settle_in_rounds(rows: DataFrame, o: Options) -> tuple[DataFrame, DataFrame
     return near_pairs(leaders, rows, o), reduce(DataFrame.unionByName, settled)
 
 
-def near_log(survivors: DataFrame, o: Options = DEFAULTS) -> DataFrame:
-    """Log of the near duplicates among the rows that exact matching left."""
-    rows = cut_lineage(survivors)
-    settle = _settle if hot_cells(rows, rows, o).isEmpty() else _settle_in_rounds
-    pairs, dominated = settle(rows, o)
+def near_log(rows: DataFrame, o: Options = DEFAULTS) -> DataFrame:
+    """Log of the near duplicates among the rows that exact matching left.
+
+    ``rows`` is read many times and should have a short lineage.
+    """
+    all_small = hot_cells(rows, rows, o).isEmpty()
+    pairs, dominated = _settle(rows, o, all_small) if all_small else _settle_in_rounds(rows, o)
     dominated = cut_lineage(dominated)
 
     first_of_j = dominated.select("j", F.col("first.i").alias("flagged_at"))

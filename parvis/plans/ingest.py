@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedup import exact_log, exact_survivors, mark_exact_duplicates, with_normal_address
+from ..operators.dedup import exact_log, exact_survivors, key_columns, mark_exact_duplicates, with_normal_address
 from ..operators.resolve import near_log
 from ..options import DEFAULTS, Options
 from ..session import cut_lineage
@@ -15,7 +15,7 @@ from ..sources.tables import read_listings, write_table
 
 def removals(listings: DataFrame, o: Options = DEFAULTS) -> DataFrame:
     """The full log with ``removed_idx``, the row number of the removed listing."""
-    marked = mark_exact_duplicates(listings, o)
+    marked = cut_lineage(mark_exact_duplicates(cut_lineage(key_columns(listings)), o))
     return cut_lineage(exact_log(marked).unionByName(near_log(exact_survivors(marked), o)))
 
 

@@ -34,3 +34,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="run-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def task_count(df: DataFrame) -> int:
+    """Tasks that keep every core busy in a step with more work than bytes."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
