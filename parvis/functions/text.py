@@ -82,30 +82,39 @@ def _found(how: tuple[str, float], address: Column, zipcode: Column) -> Column:
     )
 
 
-def extract_address(raw: Column, description: Column, zipcode: Column, answer: Column | None = None) -> Column:
-    """Best address of a listing as struct(address, zipcode, confidence, method).
+def address_clues(raw: Column, description: Column) -> dict[str, Column]:
+    """What the texts of a listing say: each clue is null when it is absent."""
+    text = F.coalesce(description, F.lit(""))
+    return {
+        "own": strip(raw),
+        "own_zip": zip_in(raw),
+        "street_number": first_group(text, STREET, 1),
+        "street_name": strip(F.regexp_extract(text, STREET, 2)),
+        "text_zip": zip_in(text),
+        "district": district_in(text),
+    }
+
+
+def choose_address(clues: dict[str, Column], zipcode: Column, answer: Column | None = None) -> Column:
+    """The best address the clues allow, as struct(address, zipcode, confidence, method).
 
     ``answer`` is a struct of the same shape (see ``answers.parse_address_answer``), null
     when there is none; it is used only where the rules find nothing.
     """
-    text = F.coalesce(description, F.lit(""))
-    own = strip(raw)
-    street_number = first_group(text, STREET, 1)
-    street_name = strip(F.regexp_extract(text, STREET, 2))
-    text_zip, district = zip_in(text), district_in(text)
+    text_zip, district = clues["text_zip"], clues["district"]
     from_text = F.when(text_zip.isNotNull(), text_zip).when(district.isNotNull(), arrond_to_zip(district))
     silent = text_zip.isNull() & district.isNull()
-
     street_zip = F.when(silent, zipcode).otherwise(from_text)
     area_zip = F.when(silent, F.when(starts_like_paris(zipcode), zipcode)).otherwise(from_text)
     printed = F.coalesce(street_zip.cast("string"), F.lit("None"))
+    street = F.concat(clues["street_number"], F.lit(" "), clues["street_name"], F.lit(", Paris "), printed)
 
     rules = (
-        F.when(F.length(own) >= fixed.SHORTEST_ADDRESS, _found(fixed.EXISTING, own, F.coalesce(zip_in(raw), zipcode)))
-        .when(
-            street_number.isNotNull(),
-            _found(fixed.FROM_STREET, F.concat(street_number, F.lit(" "), street_name, F.lit(", Paris "), printed), street_zip),
+        F.when(
+            F.length(clues["own"]) >= fixed.SHORTEST_ADDRESS,
+            _found(fixed.EXISTING, clues["own"], F.coalesce(clues["own_zip"], zipcode)),
         )
+        .when(clues["street_number"].isNotNull(), _found(fixed.FROM_STREET, street, street_zip))
         .when(
             area_zip.isNotNull() & (area_zip != 0),
             _found(fixed.FROM_ZIP, F.concat(F.lit("Paris "), area_zip.cast("string")), area_zip),
@@ -115,6 +124,11 @@ def extract_address(raw: Column, description: Column, zipcode: Column, answer: C
     return F.coalesce(rules, unknown) if answer is None else F.coalesce(rules, answer, unknown)
 
 
+def extract_address(raw: Column, description: Column, zipcode: Column, answer: Column | None = None) -> Column:
+    """``choose_address`` straight from the texts."""
+    return choose_address(address_clues(raw, description), zipcode, answer)
+
+
 def address_usable(zipcode: Column, confidence: Column) -> Column:
     return F.coalesce(zipcode.isNotNull() & (confidence >= fixed.USABLE_CONFIDENCE), F.lit(False))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.answers import address_prompt, parse_address_answer
-from ..functions.text import address_usable, effective_zip, extract_address
+from ..functions.text import address_clues, address_usable, choose_address, effective_zip
 from ..options import DEFAULTS, Options
 
 
@@ -17,18 +17,24 @@ def attach_answers(rows: DataFrame, answers: DataFrame) -> DataFrame:
     return rows.join(one_each, "listing_id", "left").select(*rows.columns, "response_text")
 
 
+def _columns_of(rows: DataFrame, struct: Column, names: list[str]) -> DataFrame:
+    """``rows`` with the fields of ``struct`` as columns.
+
+    A generator of one row: unlike a projection it is never merged into the expressions and
+    filters above it, so every pattern is matched once per listing.
+    """
+    return rows.select(*rows.columns, F.inline(F.array(struct)).alias(*names))
+
+
 def enrich_addresses(listings: DataFrame, answers: DataFrame | None = None) -> DataFrame:
     """Listings with address_clean, address_zipcode, address_confidence and address_method."""
     rows = listings if answers is None else attach_answers(listings, answers)
+    clues = address_clues(F.col("raw_address"), F.col("description"))
+    rows = _columns_of(rows, F.struct(*[c.alias(f"_{name}") for name, c in clues.items()]), [f"_{c}" for c in clues])
     answer = None if answers is None else parse_address_answer(F.col("response_text"), F.col("code_postal"))
-    found = extract_address(F.col("raw_address"), F.col("description"), F.col("code_postal"), answer)
-    return rows.withColumn("_found", found).select(
-        *listings.columns,
-        F.col("_found.address").alias("address_clean"),
-        F.col("_found.zipcode").alias("address_zipcode"),
-        F.col("_found.confidence").alias("address_confidence"),
-        F.col("_found.method").alias("address_method"),
-    )
+    best = choose_address({name: F.col(f"_{name}") for name in clues}, F.col("code_postal"), answer)
+    found = ["address_clean", "address_zipcode", "address_confidence", "address_method"]
+    return _columns_of(rows, best, found).select(*listings.columns, *found)
 
 
 def address_prompts(addressed: DataFrame) -> DataFrame:
