@@ -34,7 +34,8 @@ class Options:
     slices: int = 64
     """How many ways the rows of one grouping key are spread in look-up joins."""
     bucket_width: float = 16.0
-    """Width, in euros per square metre, of the histogram behind exact quantiles."""
+    """Width, in euros per square metre, of the histogram behind exact quantiles. Keep it
+    below the usual spread of prices: wider buckets cost digits of the deviation."""
     hot_cell_rows: int = 4096
     """Blocks of the near-duplicate join larger than this square also block on address trigrams."""
     first_round_rows: int = 4096
