@@ -122,7 +122,11 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, all_s
         keys.append("gram")
     names = {"row_idx": "", "listing_id": "id_", "asking_price": "price_", "surface_m2": "surface_", "address_norm": "address_"}
     left, right = [
-        side.select(*keys, *[F.col(c).alias(prefix + which) for c, prefix in names.items()])
+        side.select(
+            *keys,
+            *[F.col(c).alias(prefix + which) for c, prefix in names.items()],
+            F.length("address_norm").alias(f"length_{which}"),
+        )
         for side, which in zip(sides, ("i", "j"))
     ]
     if not n_hot:
@@ -130,8 +134,7 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, all_s
         tasks = task_count(first)
         left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     c = F.col
-    longest = F.greatest(F.length("address_i"), F.length("address_j"))
-    shortest = F.least(F.length("address_i"), F.length("address_j"))
+    longest, shortest = F.greatest("length_i", "length_j"), F.least("length_i", "length_j")
     close_price = (
         c("price_i").isNull()
         | c("price_j").isNull()
@@ -142,7 +145,7 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, all_s
     slack = 1 - o.min_similarity
     distance = F.expr(
         "pmod(levenshtein(address_i, address_j, "
-        f"cast(floor({slack!r}d * greatest(length(address_i), length(address_j))) + 1 as int)), 1 << 30)"
+        f"cast(floor({slack!r}d * greatest(length_i, length_j)) + 1 as int)), 1 << 30)"
     )
     similarity = 1.0 - distance / longest
     pairs = (

@@ -20,8 +20,10 @@ crowd of near-identical listings meets the few that took a turn and not itself.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,18 +36,35 @@ def _dominates() -> Column:
     return F.coalesce(F.col("price_i") <= F.col("price_j"), F.lit(False))
 
 
-def passed_over(edges: DataFrame) -> DataFrame | None:
-    """Rows (``j``) dominated by a row that took its turn; ``edges`` holds dominations (i, j)."""
+def _in_row_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The recursion itself, over all dominations (i, j) of one task sorted by i."""
+    lost = set()
+    for batch in batches:
+        new = []
+        for i, j in zip(batch["i"].tolist(), batch["j"].tolist()):
+            if i not in lost and j not in lost:
+                lost.add(j)
+                new.append(j)
+        yield pd.DataFrame({"j": new}, dtype="int64")
+
+
+def passed_over(edges: DataFrame, o: Options = DEFAULTS) -> DataFrame:
+    """Rows (``j``) dominated by a row that took its turn; ``edges`` holds dominations (i, j).
+
+    Peels in parallel while there is much left. A counted, small rest is finished in order
+    by one task, which also ends long chains that would take a job per link.
+    """
     edges = cut_lineage(edges.select("i", "j"))
     found = []
-    while not edges.isEmpty():
+    while edges.count() > o.broadcast_rows:
         free = edges.select("i").distinct().join(edges.select(F.col("j").alias("i")).distinct(), "i", "left_anti")
         lost = cut_lineage(edges.join(free, "i", "left_semi").select("j").distinct())
         found.append(lost)
         edges = cut_lineage(
             edges.join(lost.select(F.col("j").alias("i")), "i", "left_anti").join(lost, "j", "left_anti").select("i", "j")
         )
-    return reduce(DataFrame.unionByName, found) if found else None
+    rest = edges.repartition(1).sortWithinPartitions("i").mapInPandas(_in_row_order, "j long")
+    return reduce(DataFrame.unionByName, [*found, cut_lineage(rest)])
 
 
 def _first_dominator(pairs: DataFrame) -> DataFrame:
@@ -60,9 +79,8 @@ def _settle(rows: DataFrame, o: Options, all_small: bool = False) -> tuple[DataF
     """All matches among ``rows``, and the passed-over rows with their first dominator."""
     pairs = cut_lineage(near_pairs(rows, rows, o, all_small))
     dominations = pairs.filter(_dominates())
-    lost = passed_over(dominations)
-    if lost is not None:
-        dominations = dominations.join(lost.select(F.col("j").alias("i")), "i", "left_anti")
+    lost = passed_over(dominations, o).select(F.col("j").alias("i"))
+    dominations = dominations.join(lost, "i", "left_anti")
     return pairs, _first_dominator(dominations)
 
 
