@@ -59,8 +59,12 @@ def _cells(rows: DataFrame, o: Options, first: bool) -> DataFrame:
     )
 
 
-def hot_cells(first: DataFrame, second: DataFrame, o: Options = DEFAULTS) -> DataFrame:
-    """Cells with more than ``hot_cell_rows`` squared comparisons."""
+def crowded_cells(first: DataFrame, second: DataFrame, o: Options = DEFAULTS) -> DataFrame:
+    """Cells that need care, with the flag ``lonely``.
+
+    Hot cells hold more than ``hot_cell_rows`` squared comparisons. Lonely ones are large but
+    have rows of one side only, so nothing can match there.
+    """
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     sides = [
         _cells(first, o, True).select(*CELL, one.alias("n1"), none.alias("n2")),
@@ -68,7 +72,13 @@ def hot_cells(first: DataFrame, second: DataFrame, o: Options = DEFAULTS) -> Dat
     ]
     counted = sides[0].unionByName(sides[1]).groupBy(*CELL).agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))
     comparisons = F.col("n1").cast("double") * F.col("n2")
-    return counted.filter(comparisons > float(o.hot_cell_rows) ** 2).select(*CELL)
+    hot = comparisons > float(o.hot_cell_rows) ** 2
+    lonely = (comparisons == 0) & (F.col("n1") + F.col("n2") > o.hot_cell_rows)
+    return counted.filter(hot | lonely).select(*CELL, lonely.alias("lonely"))
+
+
+def has_hot_cells(rows: DataFrame, o: Options = DEFAULTS) -> bool:
+    return not crowded_cells(rows, rows, o).filter(~F.col("lonely")).isEmpty()
 
 
 def _trigrams(text: Column) -> Column:
@@ -93,16 +103,20 @@ def _rarest_trigrams(addresses: DataFrame, o: Options) -> DataFrame:
     return ranked.select("address_norm", F.transform(kept, lambda g: g["gram"]).alias("grams"))
 
 
-def _with_gram_keys(sides: list[DataFrame], hot: DataFrame, o: Options) -> list[DataFrame]:
-    """Both sides with a further key ``gram``: 0 in ordinary cells, a rare trigram in hot ones."""
-    flagged = [side.join(hot.withColumn("hot", F.lit(True)), CELL, "left") for side in sides]
-    addresses = flagged[0].filter("hot").select("address_norm").union(flagged[1].filter("hot").select("address_norm"))
-    rarest = _rarest_trigrams(addresses, o)
-    ordinary = [side.filter("hot is null").drop("hot").withColumn("gram", F.lit(0).cast("bigint")) for side in flagged]
-    keyed = [
-        side.filter("hot").drop("hot").join(rarest, "address_norm").withColumn("gram", F.explode("grams")).drop("grams")
+def _with_gram_keys(sides: list[DataFrame], crowded: DataFrame, o: Options) -> list[DataFrame]:
+    """Both sides with a further key ``gram``: 0 in ordinary cells, a rare trigram in hot ones.
+
+    Rows in lonely cells are dropped. Both joins below keep the large side on the left, where
+    an adaptive plan splits a key that holds very many rows.
+    """
+    flagged = [side.join(crowded, CELL, "left") for side in sides]
+    hot = [side.filter(~F.col("lonely")).drop("lonely") for side in flagged]
+    rarest = _rarest_trigrams(hot[0].select("address_norm").union(hot[1].select("address_norm")), o)
+    ordinary = [
+        side.filter(F.col("lonely").isNull()).drop("lonely").withColumn("gram", F.lit(0).cast("bigint"))
         for side in flagged
     ]
+    keyed = [side.join(rarest, "address_norm").withColumn("gram", F.explode("grams")).drop("grams") for side in hot]
     return [a.unionByName(b) for a, b in zip(ordinary, keyed)]
 
 
@@ -114,11 +128,13 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, all_s
     the caller knows that no cell is hot (``all_small``).
     """
     sides = [_cells(first, o, True), _cells(second, o, False)]
-    hot = hot_cells(first, second, o)
-    n_hot = 0 if all_small else hot.count()
+    crowded = crowded_cells(first, second, o)
+    kinds = {} if all_small else {r["lonely"]: r["count"] for r in crowded.groupBy("lonely").count().collect()}
+    n_hot = kinds.get(False, 0)
     keys = list(CELL)
     if n_hot:
-        sides = _with_gram_keys(sides, F.broadcast(hot) if n_hot <= o.broadcast_rows else hot, o)
+        small = sum(kinds.values()) <= o.broadcast_rows
+        sides = _with_gram_keys(sides, F.broadcast(crowded) if small else crowded, o)
         keys.append("gram")
     names = {"row_idx": "", "listing_id": "id_", "asking_price": "price_", "surface_m2": "surface_", "address_norm": "address_"}
     left, right = [

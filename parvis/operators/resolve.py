@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..options import DEFAULTS, Options
 from ..session import cut_lineage
-from .near import hot_cells, near_pairs
+from .near import has_hot_cells, near_pairs
 
 
 def _dominates() -> Column:
@@ -123,7 +123,7 @@ def near_log(rows: DataFrame, o: Options = DEFAULTS) -> DataFrame:
 
     ``rows`` is read many times and should have a short lineage.
     """
-    all_small = hot_cells(rows, rows, o).isEmpty()
+    all_small = not has_hot_cells(rows, o)
     pairs, dominated = _settle(rows, o, all_small) if all_small else _settle_in_rounds(rows, o)
     dominated = cut_lineage(dominated)
 
