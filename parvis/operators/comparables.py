@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..options import DEFAULTS, Options
 from ..session import cut_lineage
-from .market import MARKET, trend_pct, yearly_medians
+from .market import MARKET, is_recent, trend_pct, yearly_medians
 from .quantiles import bucket_of, histogram, locate_summary, merge_histograms, select_summary, wanted_buckets
 
 PROBE = ["zipcode", "property_type", "surface_m2"]
@@ -181,3 +181,25 @@ def comparables(probes: DataFrame, cells: DataFrame, o: Options = DEFAULTS) -> D
             trend_pct(F.col("median_before"), F.col("median_after")).alias("trend_pct"),
         )
     )
+
+
+def comparable_sales(probes: DataFrame, sales: DataFrame, cells: DataFrame, o: Options = DEFAULTS) -> DataFrame:
+    """The sale rows behind each request, next to its key and tier.
+
+    The output has one row per request and sale: meant for the requests one wants to look
+    at, not for all of them.
+    """
+    tiers = choose_tier(probes, cells, o).filter(F.col("n_comparables") > 0)
+    anywhere = F.col("scope") == ANY_SURFACE
+    market = {"code_postal": "zipcode", "type_local": "property_type"}
+    rows = sales.withColumns(
+        {"surface": F.col("surface_reelle_bati"), "recent": is_recent(o), "bin": _bin(F.col("surface_reelle_bati"), o)}
+    ).withColumnsRenamed(market)
+    wanted = tiers.select(*PROBE, "tier", "scope", "recent_only")
+    banded = wanted.filter(~anywhere).withColumn("bin", F.explode(_band_bins(F.col("scope"), o)))
+    found = banded.join(rows, [*PROBE[:2], "bin"]).unionByName(
+        wanted.filter(anywhere).join(rows, PROBE[:2])
+    )
+    fresh_enough = F.col("recent") | ~F.col("recent_only")
+    kept = [c for c in sales.columns if c not in market]
+    return found.filter((anywhere | _in_band("scope", o)) & fresh_enough).select(*PROBE, "tier", *kept)

@@ -112,8 +112,8 @@ def _values(cells: DataFrame, keys: Sequence[str], width: float) -> DataFrame:
     return values.withColumn("bucket", bucket_of(F.col("value"), width))
 
 
-# Sums of a bucket. Moments are kept around the bucket's centre, where they lose no digits.
-MERGED = {"weight": F.sum, "s1": F.sum, "s2": F.sum, "least": F.min, "most": F.max}
+# Sums of a bucket. Moments are kept around the bucket's centre, where they lose few digits.
+MERGED = {"weight": F.sum, "total": F.sum, "s1": F.sum, "s2": F.sum, "least": F.min, "most": F.max}
 
 
 def histogram(cells: DataFrame, keys: Sequence[str], width: float) -> DataFrame:
@@ -124,6 +124,7 @@ def histogram(cells: DataFrame, keys: Sequence[str], width: float) -> DataFrame:
         .groupBy(*keys, "bucket")
         .agg(
             F.sum("n").alias("weight"),
+            F.sum(F.col("n") * F.col("price")).alias("total"),
             F.sum(F.col("n") * offset).alias("s1"),
             F.sum(F.col("n") * offset * offset).alias("s2"),
             F.min("price").alias("least"),
@@ -141,7 +142,7 @@ def locate_summary(hist: DataFrame, keys: Sequence[str], width: float) -> DataFr
     group = Window.partitionBy(*keys)
     centre = (F.col("bucket") + 0.5) * width
     priced = F.when(F.col("bucket").isNotNull(), F.col("weight"))
-    mean = F.try_divide(F.sum(F.col("s1") + priced * centre).over(group), F.sum(priced).over(group))
+    mean = F.try_divide(F.sum("total").over(group), F.sum(priced).over(group))
     shift = F.col("mean") - centre
     totals = [
         F.max("mean").alias("mean"),

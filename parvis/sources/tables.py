@@ -63,8 +63,8 @@ def read_answers(spark: SparkSession, path: str) -> DataFrame:
 def number_rows(spark: SparkSession, path: str, numbered_path: str) -> DataFrame:
     """Store the listings of ``path`` with a ``row_idx`` and return the stored table.
 
-    The number grows along the file order of one scan. It is written out because a later
-    scan may split the files in another way.
+    The number grows along each file; which file comes first is up to the scan. It is
+    written out because a later scan may split the files in another way.
     """
     numbered = _scan(spark, path).withColumn("row_idx", F.monotonically_increasing_id())
     numbered.write.mode("overwrite").parquet(numbered_path)

@@ -2,12 +2,13 @@ import datetime
 import math
 import random
 import statistics
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parvis.operators.comparables import PROBE, comparables
+from parvis.operators.comparables import PROBE, comparable_sales, comparables
 from parvis.operators.market import derive_price_m2, market_quantiles, market_stats, market_trend, sales_cells
 from parvis.operators.models import fit_forest, fit_quantiles, training_features
 from parvis.operators.quantiles import grouped_quantiles, grouped_summary
@@ -112,6 +113,11 @@ def test_comparables_equal_brute_force(spark, make_sales):
     ]
     probes = [(z, k, s) for z in (1, 2, 3, 4) for k in ("Appartement", "Maison") for s in (0.0, 15.0, 28.57, 50.0, 900.0)]
     got = ask(spark, make_sales, sales, probes, Options(bucket_width=7.0))
+    o = Options()
+    table = derive_price_m2(make_sales(sales))
+    asked = spark.createDataFrame(probes, "zipcode int, property_type string, surface_m2 double")
+    behind = Counter(tuple(r[c] for c in PROBE) for r in comparable_sales(asked, table, sales_cells(table, o), o).collect())
+    assert behind == {key: row.n_comparables for key, row in got.items() if row.n_comparables}
     for z, k, s in probes:
         pool = [x for x in sales if x["code_postal"] == z and x["type_local"] == k]
         band = [x for x in pool if x["surface_reelle_bati"] is not None and s * 0.7 <= x["surface_reelle_bati"] <= s * 1.3]
