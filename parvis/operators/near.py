@@ -13,17 +13,20 @@ change at most ``3 k`` trigrams, so the ``3 k + 1`` rarest of two matching addre
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..options import DEFAULTS, Options
-from ..session import task_count
+from ..session import task_limit
 
 CELL = ["code_postal", "surface_bin", "price_key"]
 # Keys under which a missing price on the first or on the second side meets the other side.
 FIRST_UNPRICED = -(2**60)
 SECOND_UNPRICED = FIRST_UNPRICED + 1
+# About half a second of work.
+COMPARISONS_PER_TASK = 100_000
 
 
 def _price_bin(price: Column, o: Options) -> Column:
@@ -59,8 +62,8 @@ def _cells(rows: DataFrame, o: Options, first: bool) -> DataFrame:
     )
 
 
-def crowded_cells(first: DataFrame, second: DataFrame, o: Options = DEFAULTS) -> DataFrame:
-    """Cells that need care, with the flag ``lonely``.
+def _cell_sizes(first: DataFrame, second: DataFrame, o: Options) -> DataFrame:
+    """Rows of either side per cell, with the flags ``hot`` and ``lonely``.
 
     Hot cells hold more than ``hot_cell_rows`` squared comparisons. Lonely ones are large but
     have rows of one side only, so nothing can match there.
@@ -72,13 +75,35 @@ def crowded_cells(first: DataFrame, second: DataFrame, o: Options = DEFAULTS) ->
     ]
     counted = sides[0].unionByName(sides[1]).groupBy(*CELL).agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))
     comparisons = F.col("n1").cast("double") * F.col("n2")
-    hot = comparisons > float(o.hot_cell_rows) ** 2
-    lonely = (comparisons == 0) & (F.col("n1") + F.col("n2") > o.hot_cell_rows)
-    return counted.filter(hot | lonely).select(*CELL, lonely.alias("lonely"))
+    return counted.select(
+        *CELL,
+        comparisons.alias("comparisons"),
+        (comparisons > float(o.hot_cell_rows) ** 2).alias("hot"),
+        ((comparisons == 0) & (F.col("n1") + F.col("n2") > o.hot_cell_rows)).alias("lonely"),
+    )
+
+
+def crowded_cells(first: DataFrame, second: DataFrame, o: Options = DEFAULTS) -> DataFrame:
+    return _cell_sizes(first, second, o).filter(F.col("hot") | F.col("lonely")).select(*CELL, "lonely")
+
+
+@dataclass(frozen=True)
+class Load:
+    """What a join of two sides amounts to."""
+
+    comparisons: float
+    n_hot: int
+    n_lonely: int
 
 
-def has_hot_cells(rows: DataFrame, o: Options = DEFAULTS) -> bool:
-    return not crowded_cells(rows, rows, o).filter(~F.col("lonely")).isEmpty()
+def measure(first: DataFrame, second: DataFrame, o: Options = DEFAULTS) -> Load:
+    """Counts the cells, by one job."""
+    row = _cell_sizes(first, second, o).agg(
+        F.coalesce(F.sum("comparisons"), F.lit(0.0)).alias("comparisons"),
+        F.count_if("hot").alias("n_hot"),
+        F.count_if("lonely").alias("n_lonely"),
+    ).first()
+    return Load(row.comparisons, row.n_hot, row.n_lonely)
 
 
 def _trigrams(text: Column) -> Column:
@@ -120,20 +145,19 @@ def _with_gram_keys(sides: list[DataFrame], crowded: DataFrame, o: Options) -> l
     return [a.unionByName(b) for a, b in zip(ordinary, keyed)]
 
 
-def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, all_small: bool = False) -> DataFrame:
+def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, load: Load | None = None) -> DataFrame:
     """All matches (i, j) with i from ``first`` before j from ``second``.
 
     Inputs hold row_idx, listing_id, address_norm, surface_m2, code_postal, asking_price. The
     price test is relative to the earlier listing. Blocks are counted first, by a job, unless
-    the caller knows that no cell is hot (``all_small``).
+    the caller has measured them (``load``).
     """
     sides = [_cells(first, o, True), _cells(second, o, False)]
-    crowded = crowded_cells(first, second, o)
-    kinds = {} if all_small else {r["lonely"]: r["count"] for r in crowded.groupBy("lonely").count().collect()}
-    n_hot = kinds.get(False, 0)
+    load = load or measure(first, second, o)
     keys = list(CELL)
-    if n_hot:
-        small = sum(kinds.values()) <= o.broadcast_rows
+    if load.n_hot:
+        crowded = crowded_cells(first, second, o)
+        small = load.n_hot + load.n_lonely <= o.broadcast_rows
         sides = _with_gram_keys(sides, F.broadcast(crowded) if small else crowded, o)
         keys.append("gram")
     names = {"row_idx": "", "listing_id": "id_", "asking_price": "price_", "surface_m2": "surface_", "address_norm": "address_"}
@@ -145,9 +169,10 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, all_s
         )
         for side, which in zip(sides, ("i", "j"))
     ]
-    if not n_hot:
-        # No key is large, and comparing is costlier than its input suggests: use all cores.
-        tasks = task_count(first)
+    if not load.n_hot:
+        # No key is large, and comparing is costlier than its input suggests: as many tasks
+        # as the comparisons call for.
+        tasks = max(1, min(task_limit(first), math.ceil(load.comparisons / COMPARISONS_PER_TASK)))
         left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     c = F.col
     longest, shortest = F.greatest("length_i", "length_j"), F.least("length_i", "length_j")
@@ -173,4 +198,4 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, all_s
         .filter(similarity >= o.min_similarity)
         .select("i", "j", "id_i", "id_j", "price_i", "price_j", similarity.alias("similarity"))
     )
-    return pairs.dropDuplicates(["i", "j"]) if n_hot else pairs
+    return pairs.dropDuplicates(["i", "j"]) if load.n_hot else pairs

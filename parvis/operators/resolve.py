@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..options import DEFAULTS, Options
 from ..session import cut_lineage
-from .near import has_hot_cells, near_pairs
+from .near import Load, measure, near_pairs
 
 
 def _dominates() -> Column:
@@ -75,9 +75,9 @@ def _first_dominator(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _settle(rows: DataFrame, o: Options, all_small: bool = False) -> tuple[DataFrame, DataFrame]:
+def _settle(rows: DataFrame, o: Options, load: Load | None = None) -> tuple[DataFrame, DataFrame]:
     """All matches among ``rows``, and the passed-over rows with their first dominator."""
-    pairs = cut_lineage(near_pairs(rows, rows, o, all_small))
+    pairs = cut_lineage(near_pairs(rows, rows, o, load))
     dominations = pairs.filter(_dominates())
     lost = passed_over(dominations, o).select(F.col("j").alias("i"))
     dominations = dominations.join(lost, "i", "left_anti")
@@ -123,8 +123,8 @@ def near_log(rows: DataFrame, o: Options = DEFAULTS) -> DataFrame:
 
     ``rows`` is read many times and should have a short lineage.
     """
-    all_small = not has_hot_cells(rows, o)
-    pairs, dominated = _settle(rows, o, all_small) if all_small else _settle_in_rounds(rows, o)
+    load = measure(rows, rows, o)
+    pairs, dominated = _settle_in_rounds(rows, o) if load.n_hot else _settle(rows, o, load)
     dominated = cut_lineage(dominated)
 
     first_of_j = dominated.select("j", F.col("first.i").alias("flagged_at"))

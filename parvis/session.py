@@ -36,7 +36,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def task_count(df: DataFrame) -> int:
-    """Tasks that keep every core busy in a step with more work than bytes."""
+def task_limit(df: DataFrame) -> int:
+    """Most tasks that a step with more work than bytes should be cut into."""
     spark = df.sparkSession
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

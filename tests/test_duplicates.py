@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from parvis.operators.dedup import exact_log, exact_survivors, key_columns, mark_exact_duplicates
-from parvis.operators.near import crowded_cells, has_hot_cells, near_pairs
+from parvis.operators.near import measure, near_pairs
 from parvis.options import Options
 from parvis.plans.ingest import dedup_summary, deduplicate
 from parvis.session import cut_lineage
@@ -201,8 +201,8 @@ def test_near_copies_hold_a_third(make_listings):
     options = Options(hot_cell_rows=20, first_round_rows=16)
     listings = make_listings(rows)
     keyed = key_columns(listings)
-    assert has_hot_cells(keyed, options)
-    assert crowded_cells(keyed, keyed, options).filter("lonely").count() > 0
+    load = measure(keyed, keyed, options)
+    assert load.n_hot > 0 and load.n_lonely > 0
     named = [{"listing_id": f"L{i}", **r} for i, r in enumerate(rows)]
     got = deduplicate(listings, options)[1].collect()
     assert sorted((r.removed_id, r.kept_id) for r in got) == sorted(turn_by_turn(named))
