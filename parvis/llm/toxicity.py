@@ -155,7 +155,7 @@ def nystroem(matrix: np.ndarray) -> np.ndarray:
     return vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
 
 
-def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
+def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-5) -> np.ndarray:
     """Linear SVM (squared hinge, Newton steps); the last coefficient is the bias."""
     x = np.hstack([x, np.ones((len(x), 1))])
     ridge = penalty * np.eye(x.shape[1])
@@ -250,7 +250,7 @@ def choose(sample: DataFrame, words: list[str], most: int) -> list[str]:
         table[i, r["near"]] = True
     toxic = np.array([r["toxic"] > 0 for r in rows], bool)
     n_toxic, n_clean = max(1, toxic.sum()), max(1, (~toxic).sum())
-    cost = table[~toxic].sum(axis=0) / n_clean * n_toxic * 3
+    cost = table[~toxic].sum(axis=0) / n_clean * n_toxic * 5
     need = np.full(len(rows), 3.0)  # a document is covered by three landmarks
     need[~toxic] = 0
     chosen: list[int] = []
@@ -258,7 +258,7 @@ def choose(sample: DataFrame, words: list[str], most: int) -> list[str]:
         gain = (np.minimum(need, 1) @ table) - cost
         gain[chosen] = -1
         best = int(np.argmax(gain)) if len(gain) else -1
-        if best < 0 or gain[best] < 1:
+        if best < 0 or gain[best] < 2:
             break
         chosen.append(best)
         need[table[:, best]] = np.maximum(need[table[:, best]] - 1, 0)
@@ -266,7 +266,7 @@ def choose(sample: DataFrame, words: list[str], most: int) -> list[str]:
 
 
 def instances(sample: DataFrame, landmarks: list[str], n_speaking: int, per_text: int) -> list[tuple[bool, np.ndarray]]:
-    """Label and kernel rows of the best sentences of every sampled document."""
+    """Label and kernel rows of the best sentences, near a landmark, of every sampled document."""
 
     def make():
         marks = Landmarks(landmarks)
@@ -281,7 +281,7 @@ def instances(sample: DataFrame, landmarks: list[str], n_speaking: int, per_text
                 for bag in bags:
                     rows.append(at + int(np.argmax(best[at : at + len(bag)])))
                     at += len(bag)
-                rows = sorted(rows, key=lambda r: -best[r])[:per_text]
+                rows = sorted((r for r in rows if best[r] >= NEAR), key=lambda r: -best[r])[:per_text]
                 found.append(values[rows].ravel())
             return pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.float32()))], ["toxic", "rows"])
 
@@ -315,7 +315,8 @@ def fit(
     zero = np.zeros((1, len(landmarks)))
     bags = [(t, np.vstack([rows, zero]) @ root) for t, rows in bags]
     x_clean = np.vstack([zero @ root, *[b for t, b in bags if not t]])
-    toxic = [b for t, b in bags if t]
+    # A toxic document without a word near any landmark has no witness to learn from.
+    toxic = [b for t, b in bags if t and (len(b) > 1)]
     witness = [b[0] for b in toxic]  # the sentence nearest to a landmark
     beta = np.zeros(len(landmarks) + 1)
     for _ in range(4):
