@@ -106,7 +106,8 @@ def central_directory(source) -> tuple[int, int, int]:
     tail_at = max(0, source.size - 65_557)
     tail = source.read(tail_at, source.size - tail_at)
     end = tail.rfind(b"PK\x05\x06")
-    while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
+    # The true end record's comment reaches to the end of the file.
+    while end >= 0 and end + 22 + int.from_bytes(tail[end + 20 : end + 22], "little") != len(tail):
         end = tail.rfind(b"PK\x05\x06", 0, end)
     if end < 0:
         raise ValueError("no end of central directory")
