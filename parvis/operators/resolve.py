@@ -20,10 +20,8 @@ crowd of near-identical listings meets the few that took a turn and not itself.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,35 +34,49 @@ def _dominates() -> Column:
     return F.coalesce(F.col("price_i") <= F.col("price_j"), F.lit(False))
 
 
-def _in_row_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The recursion itself, over all dominations (i, j) of one task sorted by i."""
-    lost = set()
-    for batch in batches:
-        new = []
-        for i, j in zip(batch["i"].tolist(), batch["j"].tolist()):
-            if i not in lost and j not in lost:
-                lost.add(j)
-                new.append(j)
-        yield pd.DataFrame({"j": new}, dtype="int64")
+def _roots(single: DataFrame) -> DataFrame:
+    """(j, up, odd) with ``up`` moved to the first row that is no ``j`` itself, by pointer doubling.
+
+    A row with one dominator is passed over exactly if that one is not, so it shares or
+    inverts (``odd``) the fate of every row above it.
+    """
+    while True:
+        above = single.select(F.col("j").alias("up"), F.col("up").alias("next"), F.col("odd").alias("turned"))
+        joined = single.join(above, "up", "left")
+        single = cut_lineage(
+            joined.select(
+                "j",
+                F.coalesce("next", "up").alias("up"),
+                (F.col("odd") != F.coalesce("turned", F.lit(False))).alias("odd"),
+                F.col("next").isNotNull().alias("moved"),
+            )
+        )
+        if single.filter("moved").isEmpty():
+            return single.select("j", "up", "odd")
 
 
-def passed_over(edges: DataFrame, o: Options = DEFAULTS) -> DataFrame:
+def passed_over(edges: DataFrame) -> DataFrame:
     """Rows (``j``) dominated by a row that took its turn; ``edges`` holds dominations (i, j).
 
-    Peels in parallel while there is much left. A counted, small rest is finished in order
-    by one task, which also ends long chains that would take a job per link.
+    Rows that nobody dominates take their turn. So do, below them, every second of a chain of
+    rows with a single dominator; pointer doubling finds these at once, so the number of jobs
+    follows the logarithm of a chain. What any of them dominates is passed over and leaves,
+    with all it dominates itself; then the next rows are free.
     """
-    edges = cut_lineage(edges.select("i", "j"))
+    edges = cut_lineage(edges.select("i", "j").distinct())
     found = []
-    while edges.count() > o.broadcast_rows:
-        free = edges.select("i").distinct().join(edges.select(F.col("j").alias("i")).distinct(), "i", "left_anti")
-        lost = cut_lineage(edges.join(free, "i", "left_semi").select("j").distinct())
+    while not edges.isEmpty():
+        dominated = edges.groupBy("j").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("up"))
+        single = dominated.filter("n = 1").select("j", "up", F.lit(True).alias("odd"))
+        free = edges.select("i").distinct().join(dominated.select(F.col("j").alias("i")), "i", "left_anti")
+        below = _roots(cut_lineage(single)).filter(~F.col("odd"))
+        below = below.join(free.select(F.col("i").alias("up")), "up", "left_semi").select(F.col("j").alias("i"))
+        lost = cut_lineage(edges.join(free.unionAll(below), "i", "left_semi").select("j").distinct())
         found.append(lost)
         edges = cut_lineage(
             edges.join(lost.select(F.col("j").alias("i")), "i", "left_anti").join(lost, "j", "left_anti").select("i", "j")
         )
-    rest = edges.repartition(1).sortWithinPartitions("i").mapInPandas(_in_row_order, "j long")
-    return reduce(DataFrame.unionByName, [*found, cut_lineage(rest)])
+    return reduce(DataFrame.unionByName, found) if found else edges.select("j")
 
 
 def _first_dominator(pairs: DataFrame) -> DataFrame:
@@ -79,7 +91,7 @@ def _settle(rows: DataFrame, o: Options, load: Load | None = None) -> tuple[Data
     """All matches among ``rows``, and the passed-over rows with their first dominator."""
     pairs = cut_lineage(near_pairs(rows, rows, o, load))
     dominations = pairs.filter(_dominates())
-    lost = passed_over(dominations, o).select(F.col("j").alias("i"))
+    lost = passed_over(dominations).select(F.col("j").alias("i"))
     dominations = dominations.join(lost, "i", "left_anti")
     return pairs, _first_dominator(dominations)
 

@@ -5,6 +5,7 @@ import pytest
 
 from parvis.operators.dedup import exact_log, exact_survivors, key_columns, mark_exact_duplicates
 from parvis.operators.near import measure, near_pairs
+from parvis.operators.resolve import passed_over
 from parvis.options import Options
 from parvis.plans.ingest import dedup_summary, deduplicate
 from parvis.session import cut_lineage
@@ -221,3 +222,19 @@ def test_no_duplicates(make_listings):
 def test_empty_input(make_listings):
     clean, log = deduplicate(make_listings([]))
     assert clean.count() == 0 and log.count() == 0
+
+
+def test_a_chain_of_a_thousand_links(spark):
+    chain = [(i, i + 1) for i in range(1000)] + [(2000, 2002), (2001, 2002), (2002, 2003), (2003, 2004), (2002, 2004)]
+    got = sorted(r.j for r in passed_over(spark.createDataFrame(chain, "i long, j long")).collect())
+    assert got == [*range(1, 1001, 2), 2002, 2004]
+
+
+def test_turns_of_random_graphs(spark):
+    rng = random.Random(8)
+    edges = sorted({tuple(sorted(rng.sample(range(200), 2))) for _ in range(260)})
+    lost = set()
+    for i, j in edges:
+        if i not in lost:
+            lost.add(j)
+    assert sorted(r.j for r in passed_over(spark.createDataFrame(edges, "i long, j long")).collect()) == sorted(lost)
