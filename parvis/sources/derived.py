@@ -9,18 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 SALES_SQL = """
 select concat('M', cast(l_orderkey as string), '-', cast(l_linenumber as string)) as id_mutation,
-  cast(l_shipdate + interval '23' year as date) as date_mutation,
+  make_date(case when l_suppkey % 10 = 8 then 2022 else 2022 + year(l_shipdate) % 3 end, month(l_shipdate),
+    least(day(l_shipdate), 28)) as date_mutation,
   cast(75001 + l_suppkey % 20 as int) as code_postal,
   case when l_partkey % 10 = 0 then 'Maison' else 'Appartement' end as type_local,
-  l_quantity * 2 + 10 as surface_reelle_bati,
-  (8000 + 200 * (l_suppkey % 20) + l_discount * 10000) * (l_quantity * 2 + 10) as valeur_fonciere,
-  case when l_linenumber = 3 then null
-       else cast(floor((l_quantity * 2 + 10) / 28) as int) end as nombre_pieces_principales
-from {lineitem}
-where l_shipdate >= timestamp '1999-01-01 00:00:00'
-  and (l_suppkey % 10 <> 9 or l_quantity <= 4)
-  and (l_suppkey % 10 <> 8 or l_shipdate < timestamp '2000-01-01 00:00:00')
-  and (l_suppkey % 20 <> 18 or l_quantity <= 4)
+  surface as surface_reelle_bati,
+  (8000 + 200 * (l_suppkey % 20) + l_discount * 10000) * surface as valeur_fonciere,
+  case when l_linenumber = 3 then null else cast(floor(surface / 28) as int) end as nombre_pieces_principales
+from (
+  select *, (case when l_suppkey % 10 = 9 or l_suppkey % 20 = 18 then l_quantity % 4 + 1 else l_quantity end)
+    * 2e0 + 10 as surface
+  from {lineitem}) sized
 """
 
 LISTINGS_SQL = """
@@ -38,16 +37,17 @@ with base as (
     cast(floor((8500 + 200 * (p_partkey % 20)) * (p_size * 2 + 10)
       * (case p_partkey % 8 when 0 then 0.8e0 when 1 then 1.25e0 else 1.0e0 end)) as bigint) as asking_price,
     case p_partkey % 3 when 0 then 'SeLoger' when 1 then 'LeBonCoin' else 'PAP' end as source,
-    case p_partkey % 8 when 0 then 'under' when 1 then 'over' else 'fair' end as pricing_bias
+    case p_partkey % 8 when 0 then 'under' when 1 then 'over' else 'fair' end as pricing_bias,
+    case p_partkey % 5 when 0 then ' maison' when 1 then 'Appartement' when 2 then 'Loft' end as property_type
   from {part})
 select * from base
 union all
 select row_idx + 10000000, concat('DUX', substr(listing_id, 4)), replace(raw_address, ' bd ', ', Boulevard '),
-  description, code_postal, surface_m2, cast(floor(asking_price * 1.02e0) as bigint), 'PAP', pricing_bias
+  description, code_postal, surface_m2, cast(floor(asking_price * 1.02e0) as bigint), 'PAP', pricing_bias, property_type
 from base where row_idx % 14 = 2
 union all
 select row_idx + 20000000, concat('DUF', substr(listing_id, 4)), replace(raw_address, ' bd ', ' bvd '),
-  description, code_postal, surface_m2 + 2, cast(floor(asking_price * 0.99e0) as bigint), 'SeLoger', pricing_bias
+  description, code_postal, surface_m2 + 2, cast(floor(asking_price * 0.99e0) as bigint), 'SeLoger', pricing_bias, property_type
 from base where row_idx % 15 = 4
 """
 
