@@ -19,7 +19,8 @@ def signal_counts(results: DataFrame) -> DataFrame:
 
 def first_n_listings(listings: DataFrame, n: int | None) -> DataFrame:
     """The first ``n`` listings in row order; all of them for 0 or None."""
-    return listings.orderBy("row_idx").limit(n) if n else listings
+    # A limit leaves one partition; later steps deserve more.
+    return listings.orderBy("row_idx").limit(n).repartition("row_idx") if n else listings
 
 
 def with_truth(results: DataFrame) -> DataFrame:

@@ -11,34 +11,37 @@ from ..functions.memo import memo_text
 from ..operators.addresses import enrich_addresses, with_market
 from ..operators.evaluation import first_n_listings
 from ..operators.market import derive_price_m2, sales_cells
-from ..operators.models import fit_quantiles
+from ..operators.models import ForestModel, StatisticalModel, fit_quantiles
 from ..operators.valuation import results, value, write_memos
 from ..options import DEFAULTS, Options
 from ..session import cut_lineage
-from ..sources.tables import read_listings, read_sales, write_table
+from ..sources.tables import read_answers, read_listings, read_sales, write_table
 from .ingest import deduplicate
 
 
-def appraise(
-    addressed: DataFrame,
-    sales: DataFrame,
-    o: Options = DEFAULTS,
-    method: str = "statistical",
-    training: DataFrame | None = None,
-    answers: DataFrame | None = None,
-) -> DataFrame:
-    """Valued listings with memo sections, from listings with recovered addresses.
+def fit_market(
+    sales: DataFrame, o: Options = DEFAULTS, method: str = "statistical", training: DataFrame | None = None
+) -> tuple[DataFrame, StatisticalModel | ForestModel]:
+    """The counted cells of ``sales``, which serve as comparables, and the price model.
 
-    ``training`` are the sales the model learns from, by default the ``sales`` that serve
-    as comparables.
+    ``training`` are the sales the model learns from, by default ``sales``.
     """
     sales = derive_price_m2(sales)
     cells = cut_lineage(sales_cells(sales, o))
     if training is None:
-        model = fit_quantiles(sales, method, o, cells)
-    else:
-        model = fit_quantiles(derive_price_m2(training), method, o)
-    return write_memos(value(with_market(addressed, o), cells, model, o), answers)
+        return cells, fit_quantiles(sales, method, o, cells)
+    return cells, fit_quantiles(derive_price_m2(training), method, o)
+
+
+def appraise(
+    addressed: DataFrame,
+    cells: DataFrame,
+    model: StatisticalModel | ForestModel,
+    o: Options = DEFAULTS,
+    answers: DataFrame | None = None,
+) -> DataFrame:
+    """Valued listings with memo sections, from listings with recovered addresses."""
+    return write_memos(value(with_market(addressed, o), cells, model, o), answers, o)
 
 
 @dataclass(frozen=True)
@@ -50,6 +53,8 @@ class Run:
     addressed: DataFrame
     valued: DataFrame
     results: DataFrame
+    metrics: DataFrame
+    """Training errors, the number of training sales and the name of the model that was fitted."""
 
 
 def run(
@@ -60,12 +65,14 @@ def run(
     max_listings: int | None = None,
     address_answers: DataFrame | None = None,
     memo_answers: DataFrame | None = None,
+    training: DataFrame | None = None,
 ) -> Run:
     """Deduplicate, recover addresses, match sales, value and describe."""
     clean, log = deduplicate(listings, o)
     addressed = enrich_addresses(first_n_listings(clean, max_listings), address_answers)
-    valued = appraise(addressed, sales, o, method, answers=memo_answers)
-    return Run(clean, log, addressed, valued.withColumn("report_full", memo_text()), results(valued))
+    cells, model = fit_market(sales, o, method, training)
+    valued = appraise(addressed, cells, model, o, memo_answers)
+    return Run(clean, log, addressed, valued.withColumn("report_full", memo_text()), results(valued), model.metrics())
 
 
 def run_files(
@@ -77,28 +84,38 @@ def run_files(
     method: str = "statistical",
     max_listings: int | None = None,
     file_format: str = "parquet",
+    address_answers_path: str | None = None,
+    memo_answers_path: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Run on stored tables and write every stage below ``output_dir``; returns the results.
 
     Each stage is read back from its file, so a lost executor never repeats an earlier one.
+    ``multi_line`` concerns CSV whose texts hold line breaks.
     """
     ending = ".csv" if file_format == "csv" else ""
 
     def path(stage: str) -> str:
         return f"{output_dir}/{stage}{ending}"
 
-    clean, log = deduplicate(read_listings(spark, listings_path), o)
+    def answers(stored: str | None) -> DataFrame | None:
+        return read_answers(spark, stored, multi_line) if stored else None
+
+    clean, log = deduplicate(read_listings(spark, listings_path, multi_line), o)
     write_table(log, path("dedup_log"))
     write_table(clean, path("listings_clean"))
-    clean = read_listings(spark, path("listings_clean"))
+    clean = read_listings(spark, path("listings_clean"), multi_line)
 
-    write_table(enrich_addresses(first_n_listings(clean, max_listings)), path("listings_addressed"))
-    addressed = read_listings(spark, path("listings_addressed")).withColumns(
+    addressed = enrich_addresses(first_n_listings(clean, max_listings), answers(address_answers_path))
+    write_table(addressed, path("listings_addressed"))
+    addressed = read_listings(spark, path("listings_addressed"), multi_line).withColumns(
         {
             "address_zipcode": F.col("address_zipcode").try_cast("int"),
             "address_confidence": F.col("address_confidence").try_cast("double"),
         }
     )
-    valued = results(appraise(addressed, read_sales(spark, sales_path), o, method))
+    cells, model = fit_market(read_sales(spark, sales_path), o, method)
+    write_table(model.metrics(), path("training_metrics"))
+    valued = results(appraise(addressed, cells, model, o, answers(memo_answers_path)))
     write_table(valued, path("valuation_results"))
     return valued

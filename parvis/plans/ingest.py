@@ -29,16 +29,17 @@ def deduplicate(listings: DataFrame, o: Options = DEFAULTS) -> tuple[DataFrame,
 
 def dedup_summary(listings: DataFrame, log: DataFrame) -> DataFrame:
     """One row: raw, clean and removed counts, the latter also by kind of match."""
-    raw = listings.agg(F.count(F.lit(1)).alias("raw"))
-    exact = F.col("reason") == "exact_key_match"
-    removed = log.agg(
-        F.count(F.lit(1)).alias("removed"),
-        F.count_if(exact).alias("removed_exact"),
-        F.count_if(~exact).alias("removed_fuzzy"),
+    rows = listings.select(F.lit("listing").alias("kind")).unionAll(
+        log.select(F.when(F.col("reason") == "exact_key_match", "exact").otherwise("fuzzy"))
+    )
+    raw, removed = F.count_if(F.col("kind") == "listing"), F.count_if(F.col("kind") != "listing")
+    return rows.agg(
+        raw.alias("raw"),
+        (raw - removed).alias("clean"),
+        removed.alias("removed"),
+        F.count_if(F.col("kind") == "exact").alias("removed_exact"),
+        F.count_if(F.col("kind") == "fuzzy").alias("removed_fuzzy"),
     )
-    # Both sides are single rows.
-    both = raw.crossJoin(removed)
-    return both.select("raw", (F.col("raw") - F.col("removed")).alias("clean"), "removed", "removed_exact", "removed_fuzzy")
 
 
 def ingest(spark: SparkSession, raw_path: str, clean_path: str, log_path: str, o: Options = DEFAULTS) -> DataFrame:

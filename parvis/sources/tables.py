@@ -33,20 +33,20 @@ def _conform(df: DataFrame, schema: StructType, optional: set[str]) -> DataFrame
     return df.select(*[_typed(f.name, f.dataType).alias(f.name) for f in known], *extra)
 
 
-def _scan(spark: SparkSession, path: str) -> DataFrame:
+def _scan(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """``multi_line`` reads CSV whose quoted texts hold line breaks; each file is then one task."""
     if _kind(path) == "csv":
-        # Multi-line quoted descriptions are common in scraped text.
-        return spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(path)
+        return spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"').csv(path)
     return spark.read.parquet(path)
 
 
-def read_listings(spark: SparkSession, path: str) -> DataFrame:
+def read_listings(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Listings with the columns of ``schemas.LISTINGS``.
 
     Listing order decides ties, so the input must carry ``row_idx``; use
     ``number_rows`` once, at ingest, for files that lack it.
     """
-    return _conform(_scan(spark, path), schemas.LISTINGS, {"pricing_bias", "property_type"})
+    return _conform(_scan(spark, path, multi_line), schemas.LISTINGS, {"pricing_bias", "property_type"})
 
 
 def read_sales(spark: SparkSession, path: str) -> DataFrame:
@@ -55,18 +55,18 @@ def read_sales(spark: SparkSession, path: str) -> DataFrame:
     return _conform(_scan(spark, path), schemas.SALES, optional)
 
 
-def read_answers(spark: SparkSession, path: str) -> DataFrame:
-    """Model answers produced elsewhere, one row per listing."""
-    return _conform(_scan(spark, path), schemas.ANSWERS, set())
+def read_answers(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Model answers produced elsewhere; ``answered_at`` and ``model`` may come with them."""
+    return _conform(_scan(spark, path, multi_line), schemas.ANSWERS, set())
 
 
-def number_rows(spark: SparkSession, path: str, numbered_path: str) -> DataFrame:
+def number_rows(spark: SparkSession, path: str, numbered_path: str, multi_line: bool = False) -> DataFrame:
     """Store the listings of ``path`` with a ``row_idx`` and return the stored table.
 
     The number grows along each file; which file comes first is up to the scan. It is
     written out because a later scan may split the files in another way.
     """
-    numbered = _scan(spark, path).withColumn("row_idx", F.monotonically_increasing_id())
+    numbered = _scan(spark, path, multi_line).withColumn("row_idx", F.monotonically_increasing_id())
     numbered.write.mode("overwrite").parquet(numbered_path)
     return read_listings(spark, numbered_path)
 
