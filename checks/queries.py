@@ -12,6 +12,7 @@ from parvis.functions import memo, scoring
 from parvis.functions.answers import parse_address_answer
 from parvis.functions.text import address_usable
 from parvis.operators import addresses, comparables, dedup, evaluation, market, models, near, valuation
+from parvis.options import Options
 from parvis.plans import appraisal, ingest
 from parvis.session import cut_lineage
 from parvis.sources import derived
@@ -19,6 +20,7 @@ from parvis.sources import derived
 from .oracle import ADDRESS_ANSWERS_SQL, MEMO_ANSWERS_SQL, UNPLACED_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+CROWDED = Options(hot_cell_rows=4, first_round_rows=64)
 LOG = ["removed_id", "kept_id", "reason", "price_removed", "price_kept"]
 
 
@@ -118,6 +120,12 @@ def dedup_log(spark, sf):
     return ingest.deduplicate(derived.listings(spark, sf))[1]
 
 
+@query
+def dedup_log_crowded(spark, sf):
+    """The same log with every block treated as a crowd and resolved in small rounds."""
+    return ingest.deduplicate(derived.listings(spark, sf), CROWDED)[1]
+
+
 @query
 def dedup_clean(spark, sf):
     return ingest.deduplicate(derived.listings(spark, sf))[0]
@@ -225,7 +233,13 @@ def statistical_value(spark, sf):
 
 @query
 def quantile_model(spark, sf):
-    return predictions(spark, sf, "forest")
+    """What is determined about a random forest: its requests, the order and the range of its quantiles."""
+    low, mid, high = F.col("low_m2"), F.col("predicted_m2"), F.col("high_m2")
+    return predictions(spark, sf, "forest").select(
+        *comparables.PROBE,
+        ((low <= mid) & (mid <= high)).alias("ordered"),
+        ((low >= 8000) & (high <= 8000 + 200 * 19 + 1000)).alias("inside"),
+    )
 
 
 @query
@@ -253,7 +267,12 @@ def statistical_model_metrics(spark, sf):
 
 @query
 def quantile_model_metrics(spark, sf):
-    return rounded(models.fit_quantiles(sales(spark, sf), "forest").metrics(), "mae_m2", "mape_pct")
+    """The forest learns from all sales and errs less than one price for every sale would."""
+    sold = sales(spark, sf)
+    got = models.fit_quantiles(sold, "forest").metrics()
+    spread = sold.agg(F.median("prix_m2").alias("mid"), F.count("prix_m2").alias("n")).first()
+    plain = sold.agg(F.avg(F.abs(F.col("prix_m2") - spread["mid"])).alias("mad")).first()["mad"]
+    return got.select("model", "n_train", (F.col("mae_m2") < plain).alias("better_than_one_price"))
 
 
 # The flagship query and the reports on its result.
@@ -266,7 +285,23 @@ def valuation_results(spark, sf):
 
 @query
 def valuation_forest(spark, sf):
-    return full_run(spark, sf, "forest").results
+    """Listings valued by the forest, with what is determined of their figures."""
+    got = full_run(spark, sf, "forest").results
+    ordered = (F.col("ci_low") <= F.col("fair_value")) & (F.col("fair_value") <= F.col("ci_high"))
+    return got.select("listing_id", "zipcode", "n_comparables", ordered.alias("ordered"), F.col("signal").isin(*fixed.SIGNALS).alias("labelled"))
+
+
+@query
+def run_metrics(spark, sf):
+    return rounded(full_run(spark, sf).metrics, "mae_m2", "mape_pct")
+
+
+@query
+def sales_of_listings(spark, sf):
+    """The sales behind the first listings."""
+    asked = evaluation.first_n_listings(placed(spark, sf), 5).select(*comparables.PROBE).distinct()
+    found = comparables.comparable_sales(cut_lineage(asked), sales(spark, sf), cells(spark, sf))
+    return rounded(found, "prix_m2").select(*comparables.PROBE, "id_mutation", "date_mutation", "prix_m2")
 
 
 @query

@@ -103,6 +103,5 @@ RESULT_COLUMNS = [
 ]
 
 # Hosted-model answers.
-PROMPT_DESCRIPTION_CHARS = 500
 ANSWER_FENCES = "```json|```"
 ANSWERING_MODEL = "claude-sonnet-4"

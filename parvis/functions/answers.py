@@ -24,9 +24,10 @@ def _json_body(response: Column) -> Column:
     return strip(F.regexp_replace(strip(response), fixed.ANSWER_FENCES, ""))
 
 
-def address_prompt(description: Column) -> Column:
-    # The prompt length is bounded because the answering service charges by length.
-    start = F.substring(F.coalesce(description, F.lit("")), 1, fixed.PROMPT_DESCRIPTION_CHARS)
+def address_prompt(description: Column, chars: int | None = None) -> Column:
+    """Prompt over the whole description, or over its first ``chars`` characters."""
+    start = F.coalesce(description, F.lit(""))
+    start = start if chars is None else F.substring(start, 1, chars)
     return join_text(
         'Find the street address in this French property advertisement. Answer with one JSON object only: '
         '{"address": "...", "zipcode": 75XXX}, or {"address": null} if the text has none.\n\nAdvertisement: ',

@@ -12,9 +12,21 @@ from ..options import DEFAULTS, Options
 
 
 def attach_answers(rows: DataFrame, answers: DataFrame) -> DataFrame:
-    """``rows`` with ``response_text``, null without an answer; one answer counts per listing."""
-    one_each = answers.groupBy("listing_id").agg(F.min("response_text").alias("response_text"))
-    return rows.join(one_each, "listing_id", "left").select(*rows.columns, "response_text")
+    """``rows`` with ``response_text`` and ``answered_by``, null without an answer.
+
+    The latest by ``answered_at`` counts. Without that column a second answer to one listing is
+    an error. ``model``, if the answers have it, becomes ``answered_by``.
+    """
+    model = F.col("model") if "model" in answers.columns else F.lit(None).cast("string")
+    answer = F.struct("response_text", model.alias("model"))
+    if "answered_at" in answers.columns:
+        one = F.max_by(answer, "answered_at")
+    else:
+        repeated = F.raise_error(F.concat(F.lit("several answers without answered_at for "), F.first("listing_id")))
+        one = F.when(F.count(F.lit(1)) > 1, repeated.cast("struct<response_text:string,model:string>")).otherwise(F.first(answer))
+    one_each = answers.groupBy("listing_id").agg(one.alias("_one"))
+    one_each = one_each.select("listing_id", F.col("_one.response_text").alias("response_text"), F.col("_one.model").alias("answered_by"))
+    return rows.join(one_each, "listing_id", "left").select(*rows.columns, "response_text", "answered_by")
 
 
 def _columns_of(rows: DataFrame, struct: Column, names: list[str]) -> DataFrame:
@@ -37,10 +49,10 @@ def enrich_addresses(listings: DataFrame, answers: DataFrame | None = None) -> D
     return _columns_of(rows, best, found).select(*listings.columns, *found)
 
 
-def address_prompts(addressed: DataFrame) -> DataFrame:
+def address_prompts(addressed: DataFrame, o: Options = DEFAULTS) -> DataFrame:
     """Prompts for the listings whose address the rules could not find."""
     missing = addressed.filter(F.col("address_method") == fixed.NOT_FOUND[0])
-    return missing.select("listing_id", address_prompt(F.col("description")).alias("prompt"))
+    return missing.select("listing_id", address_prompt(F.col("description"), o.prompt_chars).alias("prompt"))
 
 
 def method_counts(addressed: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Price models: three ordered quantiles of the price per square metre.
 
-``StatisticalModel`` uses the quantiles of a market. ``ForestModel`` is a quantile
-regression forest (Meinshausen 2006): trees are grown for the mean, the quantiles are those
-of the training sales in the leaves a listing falls into, averaged over the trees.
+``StatisticalModel`` uses the quantiles of a market. ``ForestModel`` averages leaf quantiles:
+trees are grown for the mean, each tree gives the quantiles of the training sales in the leaf
+a listing falls into, and the trees' quantiles are averaged.
 """
 
 from __future__ import annotations
@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions.scoring import features, scoring_rooms
 from ..options import DEFAULTS, Options
+from ..session import cut_lineage
 from .market import MARKET, market_quantiles, sales_cells
 from .quantiles import grouped_quantiles
 from .spread import keys_with_slices, look_up
 
 QUANTILES = ["q10", "q50", "q90"]
 PREDICTION = ["predicted_m2_exact", "low_m2", "high_m2"]
-SMALLEST_TRAINING_SET = 200
 
 
 def training_features(sales: DataFrame) -> DataFrame:
@@ -123,42 +123,47 @@ class ForestModel:
 
 
 def fit_forest(
-    sales: DataFrame, o: Options = DEFAULTS, n_trees: int = 10, depth: int = 8, seed: int = 17
+    sales: DataFrame, o: Options = DEFAULTS, seed: int = 17
 ) -> ForestModel:
-    """Grow the trees on all sales, then read the quantiles of every leaf off their counted cells."""
+    """Grow the trees, then read the quantiles of every leaf off the counted cells of the sales.
+
+    Sales that lack a feature or the price take no part; ``n_train`` of the metrics counts the others.
+    """
     rows = training_features(sales).na.drop()
     vectors = VectorAssembler(inputCols=fixed.FEATURES, outputCol="features").transform(rows)
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol="price",
         leafCol="leaves",
-        numTrees=n_trees,
-        maxDepth=depth,
-        maxBins=64,
-        minInstancesPerNode=20,
+        numTrees=o.n_trees,
+        maxDepth=o.tree_depth,
+        maxBins=o.tree_bins,
+        minInstancesPerNode=o.leaf_rows,
         featureSubsetStrategy="all",
         seed=seed,
     )
     trees = forest.fit(vectors.select("features", "price"))
-    counted = rows.groupBy(*fixed.FEATURES, "price").agg(F.count(F.lit(1)).alias("n"))
+    counted = cut_lineage(rows.groupBy(*fixed.FEATURES, "price").agg(F.count(F.lit(1)).alias("n")))
     vectors = VectorAssembler(inputCols=fixed.FEATURES, outputCol="features").transform(counted)
     in_leaves = trees.transform(vectors).select(
         "price", "n", F.posexplode(vector_to_array("leaves")).alias("tree", "leaf")
     )
-    in_leaves = in_leaves.withColumn("leaf", F.col("leaf").cast("int"))
+    in_leaves = cut_lineage(in_leaves.withColumn("leaf", F.col("leaf").cast("int")))
     leaves = grouped_quantiles(in_leaves, ["tree", "leaf"], fixed.QUANTILES, QUANTILES, o.bucket_width)
-    return ForestModel(trees, leaves.drop("n_values"), counted)
+    return ForestModel(trees, cut_lineage(leaves.drop("n_values")), counted)
 
 
 def fit_quantiles(
     sales: DataFrame, method: str = "statistical", o: Options = DEFAULTS, cells: DataFrame | None = None
 ) -> StatisticalModel | ForestModel:
-    """The model asked for; small training sets always get the statistical one.
+    """The model asked for, but the statistical one for a forest of ``smallest_forest`` sales or fewer.
+
+    The ``model`` column of ``metrics`` names the one that was fitted.
 
     ``cells`` are the counted cells of ``sales`` where they exist already.
     """
     if method not in ("statistical", "forest"):
         raise ValueError(f"unknown method {method!r}")
-    if method == "forest" and sales.limit(SMALLEST_TRAINING_SET + 1).count() > SMALLEST_TRAINING_SET:
+    if method == "forest" and sales.limit(o.smallest_forest + 1).count() > o.smallest_forest:
         return fit_forest(sales, o)
     return StatisticalModel(sales_cells(sales, o) if cells is None else cells, o)

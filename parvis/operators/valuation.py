@@ -66,7 +66,7 @@ def value(
     return label(look_up(rows, requests, PROBE), o).drop("slice", "low_m2", "high_m2")
 
 
-def write_memos(valued: DataFrame, answers: DataFrame | None = None) -> DataFrame:
+def write_memos(valued: DataFrame, answers: DataFrame | None = None, o: Options = DEFAULTS) -> DataFrame:
     """Add the memo sections and ``generated_by``; a complete model answer replaces the template."""
     sections = memo.template_sections()
     if answers is None:
@@ -75,8 +75,10 @@ def write_memos(valued: DataFrame, answers: DataFrame | None = None) -> DataFram
     answered = F.col("_answer").isNotNull()
     merged = {s: F.coalesce(F.col("_answer")[s], sections[s]) for s in memo.ANSWERED_SECTIONS}
     merged["data_note"] = F.when(answered, memo.answered_data_note()).otherwise(sections["data_note"])
-    merged["generated_by"] = F.when(answered, f"llm:{fixed.ANSWERING_MODEL}").otherwise("template")
-    return rows.withColumns(merged).drop("_answer", "response_text")
+    merged["generated_by"] = F.when(
+        answered, F.concat(F.lit("llm:"), F.coalesce("answered_by", F.lit(o.answering_model)))
+    ).otherwise("template")
+    return rows.withColumns(merged).drop("_answer", "response_text", "answered_by")
 
 
 def memo_prompts(valued: DataFrame) -> DataFrame:

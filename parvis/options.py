@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from . import fixed
+
 
 @dataclass(frozen=True)
 class Options:
@@ -30,6 +32,20 @@ class Options:
     default_type: str = "Appartement"
     scoring_date: str = "2024-06-01"
 
+    # Answers of a hosted model.
+    prompt_chars: int | None = None
+    """Characters of a description that an address prompt holds; None for the whole text."""
+    answering_model: str = fixed.ANSWERING_MODEL
+    """Name in the memo's tag where the answers have no column ``model``."""
+
+    # Quantile forest.
+    smallest_forest: int = 200
+    """Training sales up to which the statistical model takes the forest's place; 0 for never."""
+    n_trees: int = 10
+    tree_depth: int = 8
+    tree_bins: int = 64
+    leaf_rows: int = 20
+
     # Physical knobs; none of them changes a result.
     slices: int = 64
     """How many ways the rows of one grouping key are spread in look-up joins."""
@@ -41,7 +57,7 @@ class Options:
     first_round_rows: int = 4096
     """Rows of the first of the doubling rounds in which large inputs are resolved."""
     broadcast_rows: int = 200_000
-    """Row count up to which a counted lookup table may be broadcast."""
+    """Row count up to which the counted table of crowded blocks may be broadcast."""
 
 
 DEFAULTS = Options()

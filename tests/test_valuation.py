@@ -7,10 +7,10 @@ from parvis import fixed
 from parvis.functions import memo, scoring
 from parvis.functions.answers import parse_address_answer, parse_memo_answer
 from parvis.operators import evaluation
-from parvis.operators.addresses import address_prompts, enrich_addresses, missing_addresses
+from parvis.operators.addresses import address_prompts, attach_answers, enrich_addresses, missing_addresses
 from parvis.operators.models import StatisticalModel
 from parvis.operators.valuation import label, memo_prompts, results, write_memos
-from parvis.options import DEFAULTS
+from parvis.options import DEFAULTS, Options
 
 
 def columns(spark, rows, schema, **made):
@@ -156,7 +156,9 @@ def test_answers_only_fill_gaps(spark, make_listings):
     got = enrich_addresses(listings, answers).orderBy("row_idx").collect()
     assert [r.address_method for r in got] == ["llm", "zipcode_only", "existing", "unknown"]
     assert got[0].address_zipcode == 75009 and "response_text" not in got[0].asDict()
-    prompts = address_prompts(enrich_addresses(listings)).orderBy("listing_id").collect()
+    whole = address_prompts(enrich_addresses(listings)).orderBy("listing_id").collect()
+    assert whole[1].prompt.endswith("x" * 600)
+    prompts = address_prompts(enrich_addresses(listings), Options(prompt_chars=500)).orderBy("listing_id").collect()
     assert [p.listing_id for p in prompts] == ["L0", "L3"]
     assert prompts[1].prompt.endswith("x" * 500) and "x" * 501 not in prompts[1].prompt
 
@@ -194,3 +196,14 @@ def test_missing_addresses(make_listings):
 def test_incomplete_memo_answer_is_null(spark):
     got = columns(spark, [("{}",), (None,)], "t string", v=parse_memo_answer(F.col("t")))
     assert [r.v for r in got] == [None, None]
+
+
+def test_later_answers_win_and_repeats_fail(spark, make_listings):
+    listings = make_listings([{"description": "rien"}])
+    rows = [("L0", '{"address": "1 rue A"}', 1, "first"), ("L0", '{"address": "2 rue B"}', 2, "second")]
+    answers = spark.createDataFrame(rows, "listing_id string, response_text string, answered_at int, model string")
+    assert enrich_addresses(listings, answers).first().address_clean == "2 rue B"
+    got = attach_answers(listings, answers).first()
+    assert (got.response_text, got.answered_by) == (rows[1][1], "second")
+    with pytest.raises(Exception, match="several answers"):
+        enrich_addresses(listings, answers.drop("answered_at")).collect()
