@@ -29,6 +29,7 @@ HEADLINE = [
     "market_trend",
     "statistical_value",
     "quantile_model",
+    "valuation_forest",
 ]
 
 
