@@ -117,9 +117,14 @@ def _trigrams(text: Column) -> Column:
 
 
 def _rarest_trigrams(addresses: DataFrame, o: Options) -> DataFrame:
-    """(address_norm, grams): for each address the trigrams one of which any match shares."""
-    grams = addresses.distinct().select("address_norm", F.explode(_trigrams(F.col("address_norm"))).alias("gram"))
-    frequency = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("seen"))
+    """(address_norm, grams): for each address the trigrams one of which any match shares.
+
+    ``addresses`` has a row for every listing.
+    """
+    counted = addresses.groupBy("address_norm").agg(F.count(F.lit(1)).alias("n"))
+    grams = counted.select("address_norm", "n", F.explode(_trigrams(F.col("address_norm"))).alias("gram"))
+    # Weighed by rows: one address held by a crowd makes its grams common.
+    frequency = grams.groupBy("gram").agg(F.sum("n").alias("seen"))
     # A match is at most 1 / min_similarity times as long as the address.
     edits = F.floor(F.length("address_norm") * ((1 - o.min_similarity) / o.min_similarity) + 1e-9)
     rare_first = F.sort_array(F.collect_list(F.struct("seen", "gram")))
@@ -131,6 +136,7 @@ def _rarest_trigrams(addresses: DataFrame, o: Options) -> DataFrame:
 def _with_gram_keys(sides: list[DataFrame], crowded: DataFrame, o: Options) -> list[DataFrame]:
     """Both sides with a further key ``gram``: 0 in ordinary cells, a rare trigram in hot ones.
 
+    ``grams`` keeps all of a row's keys, by which a pair is told to meet under one of them.
     Rows in lonely cells are dropped. Both joins below keep the large side on the left, where
     an adaptive plan splits a key that holds very many rows.
     """
@@ -138,10 +144,10 @@ def _with_gram_keys(sides: list[DataFrame], crowded: DataFrame, o: Options) -> l
     hot = [side.filter(~F.col("lonely")).drop("lonely") for side in flagged]
     rarest = _rarest_trigrams(hot[0].select("address_norm").union(hot[1].select("address_norm")), o)
     ordinary = [
-        side.filter(F.col("lonely").isNull()).drop("lonely").withColumn("gram", F.lit(0).cast("bigint"))
+        side.filter(F.col("lonely").isNull()).drop("lonely").withColumns({"grams": _longs(0), "gram": F.lit(0).cast("bigint")})
         for side in flagged
     ]
-    keyed = [side.join(rarest, "address_norm").withColumn("gram", F.explode("grams")).drop("grams") for side in hot]
+    keyed = [side.join(rarest, "address_norm").withColumn("gram", F.explode("grams")) for side in hot]
     return [a.unionByName(b) for a, b in zip(ordinary, keyed)]
 
 
@@ -160,12 +166,14 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, load:
         small = load.n_hot + load.n_lonely <= o.broadcast_rows
         sides = _with_gram_keys(sides, F.broadcast(crowded) if small else crowded, o)
         keys.append("gram")
+    more = ["grams"] if load.n_hot else []
     names = {"row_idx": "", "listing_id": "id_", "asking_price": "price_", "surface_m2": "surface_", "address_norm": "address_"}
     left, right = [
         side.select(
             *keys,
             *[F.col(c).alias(prefix + which) for c, prefix in names.items()],
             F.length("address_norm").alias(f"length_{which}"),
+            *[F.col(c).alias(f"{c}_{which}") for c in more],
         )
         for side, which in zip(sides, ("i", "j"))
     ]
@@ -189,8 +197,12 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, load:
         f"cast(floor({slack!r}d * greatest(length_i, length_j)) + 1 as int)), 1 << 30)"
     )
     similarity = 1.0 - distance / longest
-    pairs = (
-        left.join(right, keys)
+    joined = left.join(right, keys)
+    if load.n_hot:
+        # Of the grams that both rows are keyed by, only the least lets them meet.
+        joined = joined.filter(c("gram") == F.array_min(F.array_intersect("grams_i", "grams_j")))
+    return (
+        joined
         .filter(c("i") < c("j"))
         .filter(F.abs(c("surface_i") - c("surface_j")) <= o.surface_gap)
         .filter(close_price)
@@ -198,4 +210,3 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, load:
         .filter(similarity >= o.min_similarity)
         .select("i", "j", "id_i", "id_j", "price_i", "price_j", similarity.alias("similarity"))
     )
-    return pairs.dropDuplicates(["i", "j"]) if load.n_hot else pairs
