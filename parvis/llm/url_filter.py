@@ -51,6 +51,18 @@ http://payday-loans.example.com/apply
 https://replica-watches.example.org/shop
 http://torrent-warez.example.net/crack/serial
 https://www.keygen-crack.example.com/download
+http://ads-track.example.com/en/5
+https://m.ads-server.example.org/click/8
+https://www.track-ads.example.net/de/1
+http://spam-farm.example.com/fr/9
+https://link-farm.example.org/en/44.html
+http://blog.spam-links.example.net/es/3
+https://adult-x.example.com/en/6
+http://www.adult-chat.example.org/de/2?page=2
+https://casino-win.example.org/fr/70/
+http://www.free-bets.example.com/es/18#top
+https://blog.cheap-pills.example.net/en/262?utm_source=feed
+http://bets-win.example.org/en/5
 """.split()
 ALLOWED = """
 http://www.news-daily.example.com/en/2024/05/article.html
@@ -77,6 +89,25 @@ https://forum.example.com/en/thread/3321/
 http://www.erstlich.example.net/de/1373/
 https://schule.example.org/de/mathe/1
 http://parlement.example.com/fr/lois/2020
+https://tiontion.example.net/en/7817?utm_source=feed
+https://www.ththan.example.com/en/7944?page=2&ref=x
+http://ththha.example.org/de/157
+https://m.ththst.example.com/en/1837/
+http://thther.example.com/en/55.html
+https://www.ththre.example.org/es/3#top
+http://blog.ththing.example.com/en/744
+https://therst.example.net/fr/4163
+http://theron.example.com/es/598
+https://www.therble.example.org/en/31/
+http://thernd.example.com/fr/12?utm_source=feed
+https://m.therin.example.com/en/8.html
+http://www.oneath.example.org/de/2
+https://ander.example.com/en/90
+http://eauque.example.com/fr/1373/
+https://schaft.example.org/en/66#top
+http://adoque.example.com/es/9?page=2&ref=x
+https://books.example.org/en/novels/7
+http://www.cooking.example.com/en/bread
 """.split()
 
 
