@@ -215,8 +215,10 @@ def near_duplicates(docs: DataFrame, chunk: int = 4096, per_slice: int = 20_000)
 def keep_one(docs: DataFrame, chunk: int = 4096) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest ``doc_id``."""
     found = classes_and_components(_fingerprinted(docs), chunk)
-    keepers = found.select("first.id", "first.text_hash").distinct()
-    rows = packed(docs, F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash"))
-    same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash"))
-    turn = F.row_number().over(Window.partitionBy("own_id", "own_hash").orderBy(F.xxhash64("row")))
-    return rows.join(keepers, same).withColumn("turn", turn).filter("turn = 1").select("row.*")
+    keepers = found.select("first.none", F.coalesce("first.id", F.lit(0)).alias("id"), "first.text_hash").distinct()
+    own = [F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id")]
+    keys = ["none", "id", "text_hash"]
+    # The window has the keys of the join, so texts are shuffled once.
+    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("row")))
+    rows = packed(docs, *own, F.xxhash64("text").alias("text_hash"))
+    return rows.join(keepers, keys).withColumn("turn", turn).filter("turn = 1").select("row.*")
