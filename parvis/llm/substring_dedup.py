@@ -108,7 +108,9 @@ def nodes(source: DataFrame) -> DataFrame:
     samples = source.select("at", F.explode(F.arrays_zip("places", "hashes")).alias("s"))
     samples = samples.select("at", F.col("s.places").alias("place"), F.col("s.hashes").alias("node"))
     count = samples.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return store(samples.join(count, "node").select("at", "place", "node", "n"), "nodes")
+    # Written, so that the join reads both sides as they are and a node of very many
+    # documents can be split over tasks.
+    return store(samples.join(store(count, "repeated"), "node").select("at", "place", "node", "n"), "nodes")
 
 
 def paths(found: DataFrame, k: int) -> DataFrame:
@@ -194,7 +196,8 @@ def repeated_places(candidates: DataFrame, window: int, compact: bool = True) ->
     keys = ["k1", "k2", "words"]
     compared = comparisons(candidates, window, compact)
     counted = compared.groupBy(*keys).agg(F.sum("n").alias("total"))
-    if compact and not counted.filter((F.col("total") < 2) & (F.col("words") > window)).isEmpty():
+    counted = store(counted.filter((F.col("total") > 1) | (F.col("words") > window)), "counted")
+    if compact and not counted.filter("total < 2").isEmpty():
         return repeated_places(candidates, window, False)
     twice = counted.filter("total > 1").select(*keys)
     return compared.join(twice, keys, "left_semi").select("at", "place", "words")
