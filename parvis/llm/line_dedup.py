@@ -65,7 +65,7 @@ class LineRuns:
         return [run for level in self.levels for run in level]
 
     def _held(self) -> DataFrame:
-        return reduce(DataFrame.unionAll, self.runs()).filter("holder is not null or docs > 0").select("key")
+        return reduce(DataFrame.unionAll, self.runs()).select("key")
 
     def new_lines(self, batch: DataFrame) -> DataFrame:
         """Rows of ``batch`` (with ``key``) that no run holds: a merge anti join."""
@@ -105,13 +105,13 @@ def build_runs(keys: DataFrame, n_batches: int = 4, fanout: int = 2) -> LineRuns
     """Runs over all keys, taken in as ranges of falling ``doc_id``: the first holder is the largest."""
     cuts = keys.select("doc_id").dropna().approxQuantile("doc_id", [i / n_batches for i in range(1, n_batches)], 0.01)
     cuts = sorted({int(c) for c in cuts}, reverse=True)
-    runs, above = LineRuns(fanout), None
-    for cut in [*cuts, None]:
-        here = F.lit(True) if cut is None else F.col("doc_id") >= cut
-        if above is not None:
-            here = here & (F.col("doc_id").isNull() | (F.col("doc_id") < above)) if cut is None else here & (F.col("doc_id") < above)
-        runs.add(keys.filter(here))
-        above = cut
+    # Batch 0 holds the largest ids; a null id is below every cut.
+    batch = F.lit(0)
+    for cut in cuts:
+        batch = batch + F.coalesce(F.col("doc_id") < cut, F.lit(True)).cast("int")
+    runs = LineRuns(fanout)
+    for number in range(len(cuts) + 1):
+        runs.add(keys.filter(batch == number))
     return runs
 
 
@@ -119,15 +119,19 @@ def lines_to_drop(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, n_bat
     """(doc_id, drop): for documents that lose lines, the keys of those lines."""
     keys = store(line_keys(docs, min_chars), "line-keys")
     common = build_runs(keys, n_batches).table().filter(F.col("docs") >= min_docs).select("key", "holder")
-    lost = keys.join(common, "key").filter(~F.col("doc_id").eqNullSafe(F.col("holder")))
+    # Written, so that the join below reads both sides as they are and a line of very many
+    # documents can be split over tasks.
+    lost = keys.join(store(common, "common-lines"), "key").filter(~F.col("doc_id").eqNullSafe(F.col("holder")))
     return lost.groupBy("doc_id").agg(F.collect_list("key").alias("drop"))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, n_batches: int = 4) -> DataFrame:
     """``row`` (all columns of ``docs``) with kept_text, n_lines, n_dropped and kept_sha256."""
     drop = lines_to_drop(docs, min_chars, min_docs, n_batches).withColumnRenamed("doc_id", "drop_id")
-    rows = packed(docs, F.col("doc_id").alias("own_id"), utf8("text").alias("body"))
-    joined = rows.join(drop, F.col("own_id").eqNullSafe(F.col("drop_id")), "left").select("row", "body", "drop")
+    rows = packed(docs, F.col("doc_id").alias("own_id"))
+    joined = rows.join(drop, F.col("own_id").eqNullSafe(F.col("drop_id")), "left")
+    # The text is taken out of the row after the shuffle, so that it travels once.
+    joined = joined.select("row", utf8(F.col("row.text")).alias("body"), "drop")
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
