@@ -214,7 +214,11 @@ def near_duplicates(docs: DataFrame, chunk: int = 4096, per_slice: int = 20_000)
 
 def keep_one(docs: DataFrame, chunk: int = 4096) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest ``doc_id``."""
-    found = classes_and_components(_fingerprinted(docs), chunk)
+    return keepers_only(docs, classes_and_components(_fingerprinted(docs), chunk))
+
+
+def keepers_only(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The documents of ``docs`` that are the ``first`` of a row of ``found``."""
     keepers = found.select("first.none", F.coalesce("first.id", F.lit(0)).alias("id"), "first.text_hash").distinct()
     own = [F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id")]
     keys = ["none", "id", "text_hash"]
