@@ -4,11 +4,14 @@ Every rule is a number that is larger for worse texts. Labelled good documents (
 1) of a stratum (language) serve as holdout: a cutoff is valid if the share of good documents
 above it is proven to be at most ``risk / number of rules`` by an exact binomial test, i.e. if
 the Clopper-Pearson upper bound of that share lies below it. The error ``delta`` of the whole
-statement is split over all strata and rules (Bonferroni). Inside one rule the cutoffs of the
-grid are tested from the most lenient to the strictest and testing ends at the first failure
-(fixed-sequence testing), which needs no further correction. Together: with probability
-``1 - delta`` no stratum loses more than ``risk`` of its good documents. A rule without a
-valid cutoff is not used in that stratum; the strictest valid cutoff is used otherwise.
+statement is split over the strata (Bonferroni). ``CHAIN`` of a stratum's share tests the
+cutoffs of all rules in one fixed sequence, the most lenient one of every rule first; testing
+ends at the first failure, so no further correction is needed and every test has that whole
+error. The rest is split over the rules, each of which is also tested alone from its most
+lenient cutoff on, so that a rule which ends the sequence does not hold back the others.
+Together: with probability ``1 - delta`` no stratum loses more than ``risk`` of its good
+documents. A rule without a valid cutoff is not used in that stratum; the strictest valid
+cutoff is used otherwise.
 
 Strata are the ``max_strata`` languages with most labels; all others share one. Labels of
 documents that are absent, and null labels, are ignored. Documents failing the base rules are
@@ -33,6 +36,8 @@ SYMBOLS = b"#*$%&|<>"
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MORE = ["n_lines", "n_marks", "n_top_word"]
 OTHERS = "(others)"
+CHAIN = 0.9
+"""Share of a stratum's error for the sequence over all rules."""
 
 _CONTINUATION = bytes(range(0x80, 0xC0))
 
@@ -139,6 +144,18 @@ def strictest_valid(counts: Iterable[int], n: int, limit: float, error: float) -
     return last
 
 
+def valid_cutoffs(counts: dict[str, list[int]], n: int, limit: float, error: float) -> dict[str, int]:
+    """Index of the strictest valid cutoff by rule, from the rejections of ``n`` good documents by each cutoff."""
+    sequence = sorted((i, order, r) for order, r in enumerate(counts) for i in range(len(counts[r])))
+    last = strictest_valid([counts[r][i] for i, _, r in sequence], n, limit, CHAIN * error)
+    valid = {r: i for i, _, r in sequence[: 0 if last is None else last + 1]}
+    for r, own in counts.items():
+        at = strictest_valid(own, n, limit, (1 - CHAIN) * error / len(counts))
+        if at is not None:
+            valid[r] = max(at, valid.get(r, at))
+    return valid
+
+
 @dataclass(frozen=True)
 class Cutoffs:
     strata: list[str] = field(default_factory=list)
@@ -169,13 +186,11 @@ def fit_cutoffs(
     largest = holdout.filter("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_strata)
     strata = [r["lang"] for r in largest.collect()]
     found = holdout.groupBy(Cutoffs(strata).stratum().alias("stratum")).agg(F.count(F.lit(1)).alias("n"), *counts).collect()
-    error = delta / max(1, len(found) * len(GRID))
     valid = {}
     for row in found:
-        for r, grid in GRID.items():
-            at = strictest_valid([row[f"{r}:{i}"] for i in range(len(grid))], row["n"], risk / len(GRID), error)
-            if at is not None:
-                valid[row["stratum"], r] = grid[at]
+        rejections = {r: [row[f"{r}:{i}"] for i in range(len(grid))] for r, grid in GRID.items()}
+        for r, at in valid_cutoffs(rejections, row["n"], risk / len(GRID), delta / len(found)).items():
+            valid[row["stratum"], r] = GRID[r][at]
     return Cutoffs(strata, valid)
 
 
