@@ -98,3 +98,32 @@ def rolling(values: np.ndarray, width: int, base: int) -> np.ndarray:
             size *= 2
             power = power * power % 2**64
     return total
+
+
+def ordered_turns(conversations: DataFrame, *columns: Column) -> DataFrame:
+    """(conv_id, turn, digest, *columns) in the order of conversations and turns over all tasks.
+
+    A null turn comes first, turns of equal number are ordered by the MD5 of role and text, and
+    a null role or text is empty. The ranges are cut by all three, so that a conversation with
+    any number of turns spreads over tasks; equal keys are equal turns.
+    """
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    digest = F.md5(F.concat(F.length(role).cast("string"), F.lit(":"), role, text).cast("binary"))
+    keyed = conversations.select("conv_id", "turn", F.unhex(digest).alias("digest"), *columns)
+    keys = ["conv_id", "turn", "digest"]
+    return keyed.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
+def look_up_counted(rows: DataFrame, table: DataFrame, keys: list[str], salt: list[str], per_slice: int = 20_000):
+    """Left join of ``rows`` to ``table``, which has one row per key with its number of rows as ``n``.
+
+    A key is copied as often as its own rows need, rare keys once. Only keys of more than
+    ``per_slice`` rows are looked up first, for the number of slices their rows are dealt to.
+    """
+    slices = F.floor(F.col("n") / per_slice)
+    hot = store(table.filter(F.col("n") > per_slice).select(*keys, slices.alias("last")), "hot")
+    dealt = rows.join(hot, keys, "left").withColumn(
+        "slice", F.pmod(F.xxhash64(*salt), F.coalesce(F.col("last"), F.lit(0)) + 1)
+    )
+    copies = table.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("n") > per_slice, slices).otherwise(0).cast("long"))))
+    return dealt.join(copies.drop("n"), [*keys, "slice"], "left").drop("slice", "last")
