@@ -2,8 +2,10 @@
 
 The tokenizer lower-cases a text, cuts it by a pattern and encodes each cut on its own. For
 texts of Latin letters the cuts are found here with arrays, hashed, and looked up among the
-cuts already encoded; the tokenizer encodes each new one once. Any other text, and one that
-may hold a special token, goes through the whole tokenizer.
+cuts already encoded, whose letters are compared; the tokenizer encodes each new one once.
+Cuts of more than ``LONGEST`` letters, and those whose hash belongs to other letters, are
+encoded every time. Any other text, and one that may hold a special token, goes through the
+whole tokenizer.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ def word_tokens(path: str) -> WordTokens:
 class WordTokens:
     CACHE = 1_500_000
     """Cuts remembered; beyond that the memory starts anew."""
+    LONGEST = 64
+    """Letters of a cut that is remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -57,6 +61,7 @@ class WordTokens:
         self.keys = np.empty(0, np.uint64)
         self.at, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
         self.flat = np.empty(0, "<u4")
+        self.size, self.letters_at, self.letters = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, "<u2")
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         found: list = [None] * len(texts)
@@ -82,10 +87,17 @@ class WordTokens:
         codes = np.frombuffer(whole.encode("utf-16-le"), "<u2")
         starts, ends = self.cuts(codes)
         hashes = self.hashes(codes, starts, ends)
-        place = self.look_up(whole, starts, ends, hashes)
-        count = self.count[place]
+        place = self.look_up(whole, codes, starts, ends, hashes)
+        direct = np.flatnonzero(place < 0)
+        encoded, sizes = self.encode([whole[a:b] for a, b in zip(starts[direct].tolist(), ends[direct].tolist())])
+        held = np.flatnonzero(place >= 0)
+        count = np.empty(len(starts), np.int64)
+        count[held], count[direct] = self.count[place[held]], sizes
         until = np.cumsum(count)
-        flat = self.flat[np.repeat(self.at[place] - (until - count), count) + np.arange(int(until[-1]) if len(until) else 0)]
+        flat = np.empty(int(until[-1]) if len(until) else 0, "<u4")
+        remembered = np.repeat(place >= 0, count)
+        flat[remembered] = self.flat[_runs(self.at[place[held]], count[held])]
+        flat[~remembered] = encoded
         lengths = np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1
         # Ids before the first cut that starts at or after the end of each text.
         stop = np.append(0, until)[np.searchsorted(starts, np.cumsum(lengths))]
@@ -123,23 +135,43 @@ class WordTokens:
         value ^= value >> np.uint64(29)
         return value * np.uint64(0xBF58476D1CE4E5B9) + (ends - starts).astype(np.uint64)
 
-    def look_up(self, whole: str, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        """Where each cut is kept, after encoding the new ones."""
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all cuts one after the other, and their number for each."""
+        encoded = self.words.encode(words, is_pretokenized=True, add_special_tokens=False)
+        return np.array(encoded.ids, "<u4"), np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(words))
+
+    def look_up(self, whole: str, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Where each cut is kept, after encoding the new ones; -1 for those that are not."""
         if len(self.keys) > self.CACHE:
             self.forget()
+        size = ends - starts
         place = np.searchsorted(self.keys, hashes)
         known = place < len(self.keys)
         known[known] = self.keys[place[known]] == hashes[known]
-        if known.all():
-            return place
-        missing = np.flatnonzero(~known)
-        new, which = np.unique(hashes[missing], return_index=True)
-        which = missing[which]
-        words = [whole[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist())]
-        encoded = self.words.encode(words, is_pretokenized=True, add_special_tokens=False)
-        count = np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(words))
-        at = len(self.flat) + np.cumsum(count) - count
-        self.flat = np.append(self.flat, np.array(encoded.ids, "<u4"))
-        where = np.searchsorted(self.keys, new)
-        self.keys, self.at, self.count = np.insert(self.keys, where, new), np.insert(self.at, where, at), np.insert(self.count, where, count)
-        return np.searchsorted(self.keys, hashes)
+        missing = np.flatnonzero(~known & (size <= self.LONGEST))
+        if len(missing):
+            new, which = np.unique(hashes[missing], return_index=True)
+            which = missing[which]
+            ids, count = self.encode([whole[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist())])
+            at = len(self.flat) + np.cumsum(count) - count
+            letters_at = len(self.letters) + np.cumsum(size[which]) - size[which]
+            self.flat = np.append(self.flat, ids)
+            self.letters = np.append(self.letters, codes[_runs(starts[which], size[which])])
+            where = np.searchsorted(self.keys, new)
+            self.keys, self.at, self.count = np.insert(self.keys, where, new), np.insert(self.at, where, at), np.insert(self.count, where, count)
+            self.size, self.letters_at = np.insert(self.size, where, size[which]), np.insert(self.letters_at, where, letters_at)
+        if not len(self.keys):
+            return np.full(len(starts), -1)
+        place = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        place[(self.size[place] != size) | (size > self.LONGEST)] = -1
+        some = np.flatnonzero(place >= 0)
+        same = codes[_runs(starts[some], size[some])] == self.letters[_runs(self.letters_at[place[some]], size[some])]
+        if not same.all():
+            place[some[~np.logical_and.reduceat(same, np.cumsum(size[some]) - size[some])]] = -1
+        return place
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of runs with these starts and sizes, one run after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))

@@ -92,6 +92,23 @@ def test_zip64_directory():
     assert warc_zip.members(Bytes(data)) == {"m": (len(before) + 31, 5)}
 
 
+def test_long_cuts_whose_hashes_collide():
+    """A Thue-Morse word and its complement have one polynomial hash modulo 2**64."""
+    words = tokens.WordTokens(tokens.default_tokenizer())
+    for size in (512, 1024, 2048):
+        bits = [i.bit_count() & 1 for i in range(size)]
+        pair = ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]
+        for text in (*pair, " ".join(pair), " ".join(pair[::-1])):
+            assert words.ids([text])[0].tolist() == words.full.encode(text, add_special_tokens=False).ids
+
+
+def test_equal_hashes_of_short_cuts(monkeypatch):
+    monkeypatch.setattr(tokens.WordTokens, "hashes", lambda self, codes, starts, ends: np.zeros(len(starts), np.uint64))
+    words = tokens.WordTokens(tokens.default_tokenizer())
+    for text in ("one two three", "three", "", "two two one", "four"):
+        assert words.ids([text])[0].tolist() == words.full.encode(text, add_special_tokens=False).ids
+
+
 def test_tokens_equal_the_tokenizer(texts):
     words = tokens.WordTokens(tokens.default_tokenizer())
     words.CACHE = 50  # starts anew again and again
