@@ -52,6 +52,10 @@ class Options:
     bucket_width: float = 16.0
     """Width, in euros per square metre, of the histogram behind exact quantiles. Keep it
     below the usual spread of prices: wider buckets cost digits of the deviation."""
+    chunk_cells: int = 65_536
+    """Sales cells of a market, in the order of price, that one task holds to answer for bands."""
+    asks_per_copy: int = 100_000
+    """Bands that one copy of such a chunk answers."""
     hot_cell_rows: int = 4096
     """Blocks of the near-duplicate join larger than this square also block on address trigrams."""
     first_round_rows: int = 4096

@@ -18,7 +18,7 @@ select concat('M', cast(l_orderkey as string), '-', cast(l_linenumber as string)
   case when l_linenumber = 3 then null else cast(floor(surface / 28) as int) end as nombre_pieces_principales
 from (
   select *, (case when l_suppkey % 10 = 9 or l_suppkey % 20 = 18 then l_quantity % 4 + 1 else l_quantity end)
-    * 2e0 + 10 as surface
+    * 2e0 + 10 + (l_orderkey % 1000) / 1000e0 as surface
   from {lineitem}) sized
 """
 
