@@ -13,20 +13,21 @@ change at most ``3 k`` trigrams, so the ``3 k + 1`` rarest of two matching addre
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..options import DEFAULTS, Options
-from ..session import task_limit
 
 CELL = ["code_postal", "surface_bin", "price_key"]
 # Keys under which a missing price on the first or on the second side meets the other side.
 FIRST_UNPRICED = -(2**60)
 SECOND_UNPRICED = FIRST_UNPRICED + 1
-# About half a second of work.
-COMPARISONS_PER_TASK = 100_000
+# About a second of work.
+COMPARISONS_PER_TASK = 500_000
+MOST_TASKS = 50_000
 
 
 def _price_bin(price: Column, o: Options) -> Column:
@@ -62,7 +63,7 @@ def _cells(rows: DataFrame, o: Options, first: bool) -> DataFrame:
     )
 
 
-def _cell_sizes(first: DataFrame, second: DataFrame, o: Options) -> DataFrame:
+def _cell_sizes(first: DataFrame, second: DataFrame, o: Options, keys: Sequence[str]) -> DataFrame:
     """Rows of either side per cell, with the flags ``hot`` and ``lonely``.
 
     Hot cells hold more than ``hot_cell_rows`` squared comparisons. Lonely ones are large but
@@ -70,21 +71,22 @@ def _cell_sizes(first: DataFrame, second: DataFrame, o: Options) -> DataFrame:
     """
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     sides = [
-        _cells(first, o, True).select(*CELL, one.alias("n1"), none.alias("n2")),
-        _cells(second, o, False).select(*CELL, none.alias("n1"), one.alias("n2")),
+        _cells(first, o, True).select(*keys, one.alias("n1"), none.alias("n2")),
+        _cells(second, o, False).select(*keys, none.alias("n1"), one.alias("n2")),
     ]
-    counted = sides[0].unionByName(sides[1]).groupBy(*CELL).agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))
+    counted = sides[0].unionByName(sides[1]).groupBy(*keys).agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))
     comparisons = F.col("n1").cast("double") * F.col("n2")
     return counted.select(
-        *CELL,
+        *keys,
         comparisons.alias("comparisons"),
         (comparisons > float(o.hot_cell_rows) ** 2).alias("hot"),
         ((comparisons == 0) & (F.col("n1") + F.col("n2") > o.hot_cell_rows)).alias("lonely"),
     )
 
 
-def crowded_cells(first: DataFrame, second: DataFrame, o: Options = DEFAULTS) -> DataFrame:
-    return _cell_sizes(first, second, o).filter(F.col("hot") | F.col("lonely")).select(*CELL, "lonely")
+def crowded_cells(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, more_keys: Sequence[str] = ()) -> DataFrame:
+    keys = [*CELL, *more_keys]
+    return _cell_sizes(first, second, o, keys).filter(F.col("hot") | F.col("lonely")).select(*keys, "lonely")
 
 
 @dataclass(frozen=True)
@@ -96,9 +98,9 @@ class Load:
     n_lonely: int
 
 
-def measure(first: DataFrame, second: DataFrame, o: Options = DEFAULTS) -> Load:
+def measure(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, more_keys: Sequence[str] = ()) -> Load:
     """Counts the cells, by one job."""
-    row = _cell_sizes(first, second, o).agg(
+    row = _cell_sizes(first, second, o, [*CELL, *more_keys]).agg(
         F.coalesce(F.sum("comparisons"), F.lit(0.0)).alias("comparisons"),
         F.count_if("hot").alias("n_hot"),
         F.count_if("lonely").alias("n_lonely"),
@@ -133,14 +135,14 @@ def _rarest_trigrams(addresses: DataFrame, o: Options) -> DataFrame:
     return ranked.select("address_norm", F.transform(kept, lambda g: g["gram"]).alias("grams"))
 
 
-def _with_gram_keys(sides: list[DataFrame], crowded: DataFrame, o: Options) -> list[DataFrame]:
+def _with_gram_keys(sides: list[DataFrame], crowded: DataFrame, o: Options, keys: Sequence[str]) -> list[DataFrame]:
     """Both sides with a further key ``gram``: 0 in ordinary cells, a rare trigram in hot ones.
 
     ``grams`` keeps all of a row's keys, by which a pair is told to meet under one of them.
     Rows in lonely cells are dropped. Both joins below keep the large side on the left, where
     an adaptive plan splits a key that holds very many rows.
     """
-    flagged = [side.join(crowded, CELL, "left") for side in sides]
+    flagged = [side.join(crowded, list(keys), "left") for side in sides]
     hot = [side.filter(~F.col("lonely")).drop("lonely") for side in flagged]
     rarest = _rarest_trigrams(hot[0].select("address_norm").union(hot[1].select("address_norm")), o)
     ordinary = [
@@ -151,20 +153,27 @@ def _with_gram_keys(sides: list[DataFrame], crowded: DataFrame, o: Options) -> l
     return [a.unionByName(b) for a, b in zip(ordinary, keyed)]
 
 
-def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, load: Load | None = None) -> DataFrame:
-    """All matches (i, j) with i from ``first`` before j from ``second``.
+def near_pairs(
+    first: DataFrame,
+    second: DataFrame,
+    o: Options = DEFAULTS,
+    load: Load | None = None,
+    more_keys: Sequence[str] = (),
+    of_second: Sequence[str] = (),
+) -> DataFrame:
+    """All matches (i, j) with i from ``first`` before j from ``second``, and equal ``more_keys``.
 
     Inputs hold row_idx, listing_id, address_norm, surface_m2, code_postal, asking_price. The
     price test is relative to the earlier listing. Blocks are counted first, by a job, unless
-    the caller has measured them (``load``).
+    the caller has measured them (``load``). Columns ``of_second`` are carried along.
     """
     sides = [_cells(first, o, True), _cells(second, o, False)]
-    load = load or measure(first, second, o)
-    keys = list(CELL)
+    load = load or measure(first, second, o, more_keys)
+    keys = [*CELL, *more_keys]
     if load.n_hot:
-        crowded = crowded_cells(first, second, o)
+        crowded = crowded_cells(first, second, o, more_keys)
         small = load.n_hot + load.n_lonely <= o.broadcast_rows
-        sides = _with_gram_keys(sides, F.broadcast(crowded) if small else crowded, o)
+        sides = _with_gram_keys(sides, F.broadcast(crowded) if small else crowded, o, keys)
         keys.append("gram")
     more = ["grams"] if load.n_hot else []
     names = {"row_idx": "", "listing_id": "id_", "asking_price": "price_", "surface_m2": "surface_", "address_norm": "address_"}
@@ -174,13 +183,14 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, load:
             *[F.col(c).alias(prefix + which) for c, prefix in names.items()],
             F.length("address_norm").alias(f"length_{which}"),
             *[F.col(c).alias(f"{c}_{which}") for c in more],
+            *(of_second if which == "j" else ()),
         )
         for side, which in zip(sides, ("i", "j"))
     ]
     if not load.n_hot:
         # No key is large, and comparing is costlier than its input suggests: as many tasks
         # as the comparisons call for.
-        tasks = max(1, min(task_limit(first), math.ceil(load.comparisons / COMPARISONS_PER_TASK)))
+        tasks = max(1, min(MOST_TASKS, math.ceil(load.comparisons / COMPARISONS_PER_TASK)))
         left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     c = F.col
     longest, shortest = F.greatest("length_i", "length_j"), F.least("length_i", "length_j")
@@ -208,5 +218,5 @@ def near_pairs(first: DataFrame, second: DataFrame, o: Options = DEFAULTS, load:
         .filter(close_price)
         .filter(longest - shortest <= slack * longest + 1e-9)
         .filter(similarity >= o.min_similarity)
-        .select("i", "j", "id_i", "id_j", "price_i", "price_j", similarity.alias("similarity"))
+        .select("code_postal", "i", "j", "id_i", "id_j", "price_i", "price_j", similarity.alias("similarity"), *of_second)
     )

@@ -3,7 +3,11 @@
 The rule is sequential. Listings take their turn in row order. One that is already flagged
 is passed over. Otherwise it is compared with every later, unflagged match; the dearer of
 the two is flagged, the later one on a tie, and the turn goes on even when its own listing
-was flagged.
+was flagged. A match changes nothing outside its zip, nor outside its component of matches.
+
+So turns are replayed over the matches of whole zips, or of whole components where a zip has
+too many for one task, in as few jobs for a chain of any length as for a pair. Only zips with
+large blocks, where matches may be all pairs of a crowd, are resolved in another way.
 
 Call i a *dominator* of a later match j if j is not cheaper. Then, without replaying turns:
 
@@ -12,28 +16,98 @@ Call i a *dominator* of a later match j if j is not cheaper. Then, without repla
 * A listing that took its turn is removed by its first later match that is cheaper (or
   where a price is missing) and that no earlier turn had flagged by then.
 
-Both are joins and minima over the matches. The first is a recursion along row order; it is
-peeled off from the listings that nobody dominates. Inputs with large blocks are handled
-in rounds of doubling size: each round first drops what earlier turns dominate, so that a
-crowd of near-identical listings meets the few that took a turn and not itself.
+The first is settled in rounds of doubling size: each round first drops what earlier turns
+dominate, so that a crowd meets the few that took a turn and not itself. The second looks
+ahead over growing windows of the row order and stops at the first hit, so that a crowd whose
+later copies are all cheaper or unpriced is left after a few steps each. Both keep one row per
+listing, never the pairs.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..options import DEFAULTS, Options
 from ..session import cut_lineage
-from .near import Load, measure, near_pairs
+from .components import components
+from .near import Load, crowded_cells, measure, near_pairs
+from .running import running_totals
+
+# Tasks get this module by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+LOG = ["removed_idx", "removed_id", "kept_idx", "kept_id", "price_removed", "price_kept", "similarity"]
+LOOK_AHEAD = 16
+"""How many times longer each window is than the one before."""
 
 
 def _dominates() -> Column:
     return F.coalesce(F.col("price_i") <= F.col("price_j"), F.lit(False))
 
 
+def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Logged removals of units that come one after the other, each in turn order."""
+    unit = turn = None
+    passed, flagged = False, set()
+    for batch in batches:
+        log = []
+        columns = ["unit", "i", "j", "id_i", "id_j", "price_i", "price_j", "similarity"]
+        for here, i, j, id_i, id_j, price_i, price_j, similarity in zip(*[batch.column(c).to_pylist() for c in columns]):
+            if here != unit:
+                unit, turn, flagged = here, None, set()
+            if i != turn:
+                turn, passed = i, i in flagged
+            if passed or j in flagged:
+                continue
+            later_goes = price_i is not None and price_j is not None and price_i <= price_j
+            gone = (j, id_j, i, id_i, price_j, price_i) if later_goes else (i, id_i, j, id_j, price_i, price_j)
+            if gone[0] not in flagged:
+                flagged.add(gone[0])
+                log.append((*gone, similarity))
+        if log:
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*log), kinds)], LOG)
+
+
+def replay(pairs: DataFrame) -> DataFrame:
+    """The removals (LOG) that the turns make in every ``unit`` of ``pairs``."""
+    dealt = pairs.repartition("unit").sortWithinPartitions("unit", "i", "j")
+    longs = [F.col(c).cast("bigint").alias(c) for c in ("unit", "i", "j", "price_i", "price_j")]
+    schema = "removed_idx long, removed_id string, kept_idx long, kept_id string, price_removed long, price_kept long, similarity double"
+    return dealt.select(*longs, "id_i", "id_j", "similarity").mapInArrow(_replay, schema)
+
+
+def _without_giants(pairs: DataFrame, o: Options) -> tuple[DataFrame, DataFrame | None]:
+    """``pairs`` of units that a task can replay, and those of the others."""
+    sizes = pairs.groupBy("unit").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > o.replay_pairs)
+    giants = cut_lineage(sizes.select("unit"))
+    if giants.isEmpty():
+        return pairs, None
+    return pairs.join(giants, "unit", "left_anti"), pairs.join(giants, "unit", "left_semi")
+
+
+def replay_units(pairs: DataFrame, o: Options) -> tuple[DataFrame, DataFrame | None]:
+    """The removals (LOG) of whole zips and, in zips too large for a task, of whole components.
+
+    The second table has the pairs of components that are too large as well, if there are any.
+    ``pairs`` is read several times and should have a short lineage.
+    """
+    zips, rest = _without_giants(pairs.withColumn("unit", F.col("code_postal")), o)
+    if rest is None:
+        return replay(zips), None
+    roots = components(rest.select("i", "j"))
+    parts = rest.drop("unit").join(roots.select(F.col("node").alias("i"), F.col("root").alias("unit")), "i")
+    parts, giants = _without_giants(cut_lineage(parts), o)
+    return replay(zips).unionByName(replay(parts)), giants
+
+
 def _roots(single: DataFrame) -> DataFrame:
     """(j, up, odd) with ``up`` moved to the first row that is no ``j`` itself, by pointer doubling.
 
@@ -58,10 +132,11 @@ def _roots(single: DataFrame) -> DataFrame:
 def passed_over(edges: DataFrame) -> DataFrame:
     """Rows (``j``) dominated by a row that took its turn; ``edges`` holds dominations (i, j).
 
-    Rows that nobody dominates take their turn. So do, below them, every second of a chain of
-    rows with a single dominator; pointer doubling finds these at once, so the number of jobs
-    follows the logarithm of a chain. What any of them dominates is passed over and leaves,
-    with all it dominates itself; then the next rows are free.
+    For components too large for a task. Rows that nobody dominates take their turn. So do,
+    below them, every second of a chain of rows with a single dominator, which pointer doubling
+    finds at once. What any of them dominates is passed over and leaves, with all it dominates
+    itself; then the next rows are free. The rounds follow the longest path of rows that have
+    several dominators each.
     """
     edges = cut_lineage(edges.select("i", "j").distinct())
     found = []
@@ -79,21 +154,26 @@ def passed_over(edges: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, found) if found else edges.select("j")
 
 
-def _first_dominator(pairs: DataFrame) -> DataFrame:
-    """(j, id_j, price_j, first): the earliest dominator in ``pairs`` of each dominated row."""
-    first = F.min(F.struct("i", F.col("id_i").alias("id"), F.col("price_i").alias("price"), "similarity"))
-    return pairs.groupBy("j").agg(
-        F.any_value("id_j").alias("id_j"), F.any_value("price_j").alias("price_j"), first.alias("first")
-    )
+def _first(pairs: DataFrame, of: str, other: str) -> DataFrame:
+    """(``of``, id, price, first): of each row of ``pairs`` the partner that comes first; merged before its shuffle."""
+    first = F.min(F.struct(other, F.col(f"id_{other}").alias("id"), F.col(f"price_{other}").alias("price"), "similarity"))
+    return pairs.groupBy(of).agg(F.any_value(f"id_{of}").alias(f"id_{of}"), F.any_value(f"price_{of}").alias(f"price_{of}"), first.alias("first"))
 
 
-def _settle(rows: DataFrame, o: Options, load: Load | None = None) -> tuple[DataFrame, DataFrame]:
-    """All matches among ``rows``, and the passed-over rows with their first dominator."""
-    pairs = cut_lineage(near_pairs(rows, rows, o, load))
-    dominations = pairs.filter(_dominates())
-    lost = passed_over(dominations).select(F.col("j").alias("i"))
-    dominations = dominations.join(lost, "i", "left_anti")
-    return pairs, _first_dominator(dominations)
+def settle(dominations: DataFrame, o: Options) -> DataFrame:
+    """(j, id_j, price_j, first): the passed-over rows with their first dominator that took a turn.
+
+    ``dominations`` is read several times and should have a short lineage.
+    """
+    removed, giants = replay_units(dominations, o)
+    first = F.struct(F.col("kept_idx").alias("i"), F.col("kept_id").alias("id"), F.col("price_kept").alias("price"), "similarity")
+    settled = removed.select(
+        F.col("removed_idx").alias("j"), F.col("removed_id").alias("id_j"), F.col("price_removed").alias("price_j"), first.alias("first")
+    )
+    if giants is None:
+        return settled
+    lost = passed_over(giants).select(F.col("j").alias("i"))
+    return settled.unionByName(_first(giants.join(lost, "i", "left_anti"), "j", "i"))
 
 
 def _without(rows: DataFrame, dominated: DataFrame) -> DataFrame:
@@ -110,8 +190,8 @@ def _round_ends(rows: DataFrame, o: Options) -> list[int]:
     return sorted({int(x) for x in rows.approxQuantile("row_idx", shares, 1e-4)}) if shares else []
 
 
-def _settle_in_rounds(rows: DataFrame, o: Options) -> tuple[DataFrame, DataFrame]:
-    """As ``_settle``; the matches are only those of rows that took their turn."""
+def _took_turns(rows: DataFrame, o: Options) -> tuple[DataFrame, DataFrame]:
+    """The rows of crowded zips that took their turn, and the others with their first dominator."""
     settled, leaders = [], None
     low = None
     for high in [*_round_ends(rows, o), None]:
@@ -119,15 +199,67 @@ def _settle_in_rounds(rows: DataFrame, o: Options) -> tuple[DataFrame, DataFrame
         chunk = chunk if high is None else chunk.filter(F.col("row_idx") <= high)
         low = high
         if leaders is not None:
-            dominated = cut_lineage(_first_dominator(near_pairs(leaders, chunk, o).filter(_dominates())))
+            dominated = cut_lineage(_first(near_pairs(leaders, chunk, o).filter(_dominates()), "j", "i"))
             settled.append(dominated)
             chunk = cut_lineage(_without(chunk, dominated))
-        _, dominated = _settle(chunk, o)
-        dominated = cut_lineage(dominated)
+        dominated = cut_lineage(settle(cut_lineage(near_pairs(chunk, chunk, o).filter(_dominates())), o))
         settled.append(dominated)
         took_turn = _without(chunk, dominated)
         leaders = cut_lineage(took_turn if leaders is None else leaders.unionByName(took_turn))
-    return near_pairs(leaders, rows, o), reduce(DataFrame.unionByName, settled)
+    return leaders, reduce(DataFrame.unionByName, settled)
+
+
+def _gave_way(leaders: DataFrame, rows: DataFrame, dominated: DataFrame, o: Options) -> DataFrame:
+    """(i, id_i, price_i, first): of each leader the first later match that is cheaper and not flagged by then.
+
+    A leader looks at the rest of its window and at the next one. Windows grow, and only
+    leaders without a hit go on, so the number of jobs follows the logarithm of the rows.
+    """
+    flagged = dominated.select(F.col("j").alias("row_idx"), F.col("first.i").alias("flagged_at"))
+    place = running_totals(rows.select("row_idx", F.lit(1).cast("bigint").alias("place")), [], ["row_idx"], ["place"])
+    rows = cut_lineage(rows.join(flagged, "row_idx", "left").join(place, "row_idx"))
+    total = rows.agg(F.max("place")).first()[0] or 0
+    waiting = cut_lineage(leaders.join(rows.select("row_idx", "place"), "row_idx"))
+    found, size = [], o.first_round_rows
+    while True:
+        window = F.floor(F.col("place") / size)
+        ahead = rows.withColumn("window", F.explode(F.array(window, window - 1)))
+        pairs = near_pairs(waiting.withColumn("window", window), ahead, o, None, ["window"], ["flagged_at"])
+        open_then = F.col("flagged_at").isNull() | (F.col("flagged_at") > F.col("i"))
+        found.append(cut_lineage(_first(pairs.filter(~_dominates() & open_then), "i", "j")))
+        if size > total:
+            return reduce(DataFrame.unionByName, found)
+        waiting = cut_lineage(waiting.join(found[-1].select(F.col("i").alias("row_idx")), "row_idx", "left_anti"))
+        size *= LOOK_AHEAD
+
+
+def _crowded_log(rows: DataFrame, o: Options) -> DataFrame:
+    """The removals (LOG) among rows of zips with large blocks."""
+    leaders, dominated = _took_turns(rows, o)
+    dominated = cut_lineage(dominated)
+    gave_way = _gave_way(leaders, rows, dominated, o)
+    removed = dominated.select("j", "id_j", "first.i", "first.id", "price_j", "first.price", "first.similarity").unionAll(
+        gave_way.select("i", "id_i", "first.j", "first.id", "price_i", "first.price", "first.similarity")
+    )
+    return removed.toDF(*LOG)
+
+
+def _replayed(rows: DataFrame, o: Options, load: Load | None = None) -> DataFrame:
+    """The removals (LOG) among rows whose matches can all be listed."""
+    removed, giants = replay_units(cut_lineage(near_pairs(rows, rows, o, load)), o)
+    if giants is None:
+        return removed
+    both = giants.select(F.col("i").alias("row_idx")).union(giants.select("j")).distinct()
+    return removed.unionByName(_crowded_log(cut_lineage(rows.join(both, "row_idx", "left_semi")), o))
+
+
+def _removals(rows: DataFrame, o: Options) -> DataFrame:
+    load = measure(rows, rows, o)
+    if not load.n_hot:
+        return _replayed(rows, o, load)
+    crowded = cut_lineage(crowded_cells(rows, rows, o).filter(~F.col("lonely")).select("code_postal").distinct())
+    calm, crowds = [cut_lineage(rows.join(crowded, "code_postal", how)) for how in ("left_anti", "left_semi")]
+    return _replayed(calm, o).unionByName(_crowded_log(crowds, o))
 
 
 def near_log(rows: DataFrame, o: Options = DEFAULTS) -> DataFrame:
@@ -135,25 +267,6 @@ def near_log(rows: DataFrame, o: Options = DEFAULTS) -> DataFrame:
 
     ``rows`` is read many times and should have a short lineage.
     """
-    load = measure(rows, rows, o)
-    pairs, dominated = _settle_in_rounds(rows, o) if load.n_hot else _settle(rows, o, load)
-    dominated = cut_lineage(dominated)
-
-    first_of_j = dominated.select("j", F.col("first.i").alias("flagged_at"))
-    cheaper = (
-        pairs.filter(~_dominates())
-        .join(dominated.select(F.col("j").alias("i")), "i", "left_anti")
-        .join(first_of_j, "j", "left")
-        .filter(F.col("flagged_at").isNull() | (F.col("flagged_at") > F.col("i")))
-    )
-    first = F.min(F.struct("j", F.col("id_j").alias("id"), F.col("price_j").alias("price"), "similarity"))
-    gave_way = cheaper.groupBy("i").agg(
-        F.any_value("id_i").alias("id_i"), F.any_value("price_i").alias("price_i"), first.alias("first")
-    )
-    removed = dominated.select("j", "id_j", "price_j", "first.id", "first.price", "first.similarity").unionAll(
-        gave_way.select("i", "id_i", "price_i", "first.id", "first.price", "first.similarity")
-    )
-    removed = removed.toDF("removed_idx", "removed_id", "price_removed", "kept_id", "price_kept", "similarity")
     similarity = F.replace(F.format_number("similarity", 3), F.lit(","), F.lit(""))
     reason = F.concat(F.lit("fuzzy_match (sim="), similarity, F.lit(")"))
-    return removed.select("removed_idx", "removed_id", "kept_id", reason.alias("reason"), "price_removed", "price_kept")
+    return _removals(rows, o).select("removed_idx", "removed_id", "kept_id", reason.alias("reason"), "price_removed", "price_kept")

@@ -59,7 +59,9 @@ class Options:
     hot_cell_rows: int = 4096
     """Blocks of the near-duplicate join larger than this square also block on address trigrams."""
     first_round_rows: int = 4096
-    """Rows of the first of the doubling rounds in which large inputs are resolved."""
+    """Rows of the first of the growing rounds in which zips with large blocks are resolved."""
+    replay_pairs: int = 200_000
+    """Matches that one task replays in order, as whole zips or whole components of them."""
     broadcast_rows: int = 200_000
     """Row count up to which the counted table of crowded blocks may be broadcast."""
 

@@ -34,9 +34,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="run-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
-
-
-def task_limit(df: DataFrame) -> int:
-    """Most tasks that a step with more work than bytes should be cut into."""
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

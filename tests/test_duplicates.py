@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+from parvis.operators.components import components
 from parvis.operators.dedup import exact_log, exact_survivors, key_columns, mark_exact_duplicates
 from parvis.operators.near import measure, near_pairs
 from parvis.operators.resolve import passed_over
@@ -93,7 +94,13 @@ def expected(rows):
 
 
 @pytest.mark.parametrize(
-    "options", [Options(), Options(hot_cell_rows=3, first_round_rows=100)]
+    "options",
+    [
+        Options(),
+        Options(replay_pairs=30),
+        Options(replay_pairs=2, first_round_rows=20),
+        Options(hot_cell_rows=3, first_round_rows=100),
+    ],
 )
 def test_same_as_turn_by_turn(make_listings, markets, options):
     listings = make_listings(markets)
@@ -238,3 +245,58 @@ def test_turns_of_random_graphs(spark):
         if i not in lost:
             lost.add(j)
     assert sorted(r.j for r in passed_over(spark.createDataFrame(edges, "i long, j long")).collect()) == sorted(lost)
+
+
+def jobs_of(spark, work):
+    """Result of ``work`` and the number of Spark jobs it ran."""
+    group = f"jobs-{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    result = work()
+    count = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("", "")
+    return result, count
+
+
+def test_jobs_do_not_follow_the_length_of_chains(spark, make_listings):
+    """Every listing is dominated by the two before it: nothing but the turns tells who goes."""
+    counted = []
+    for size in (12, 120):
+        rows = [
+            {"raw_address": f"{i} rue de la longue chaine aux maillons", "code_postal": 3, "surface_m2": 20.0 + 2.5 * i, "asking_price": 100000 + i}
+            for i in range(size)
+        ]
+        # Three-digit numbers differ too much, so every address is the same length.
+        rows = [{**r, "raw_address": "rue de la longue chaine aux maillons " + "abc"[i % 3]} for i, r in enumerate(rows)]
+        listings = make_listings(rows)
+        log, jobs = jobs_of(spark, lambda: deduplicate(listings)[1].collect())
+        named = [{"listing_id": f"L{i}", **r} for i, r in enumerate(rows)]
+        assert sorted((r.removed_id, r.kept_id) for r in log) == sorted(turn_by_turn(named))
+        counted.append(jobs)
+    assert counted[0] == counted[1]
+
+
+@pytest.mark.parametrize("price", ["falling", "unpriced", "rising", "mixed"])
+def test_crowds_of_copies(make_listings, price):
+    """Copies of one address; most are matches of each other and none is cheap to list in pairs."""
+    rng = random.Random(2)
+    asked = {"falling": lambda k: 900000 - k, "unpriced": lambda k: None, "rising": lambda k: 500000 + k, "mixed": lambda k: rng.choice([None, rng.randint(480000, 520000)])}
+    rows = [
+        {"raw_address": "12 residence du grand parc", "surface_m2": 30.0 + k / 1e4, "code_postal": 7 + k % 2, "asking_price": asked[price](k)}
+        for k in range(100)
+    ]
+    named = [{"listing_id": f"L{i}", **r} for i, r in enumerate(rows)]
+    want = [w for z in (7, 8) for w in turn_by_turn([r for r in named if r["code_postal"] == z])]
+    for options in (Options(), Options(hot_cell_rows=20, first_round_rows=16)):
+        got = deduplicate(make_listings(rows), options)[1].collect()
+        assert sorted((r.removed_id, r.kept_id) for r in got) == sorted(want)
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(64)]
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = components(spark.createDataFrame(edges, "i long, j long")).collect()
+    assert {r.node: r.root for r in got} == root and len(got) == len(root)
