@@ -35,8 +35,8 @@ def _exact(amount: Column) -> Column:
     return amount.try_cast("decimal(35,16)")
 
 
-def surface_sums(cells: DataFrame) -> DataFrame:
-    """Counts, ages and the first two moments of the prices by market and surface, all sales and recent ones."""
+def with_moments(cells: DataFrame) -> DataFrame:
+    """Market, surface, and what adds up: counts, ages and price moments, of all sales and of recent ones."""
     price, n = F.nanvl("price", F.lit(None)), F.col("n")
     own = {
         "n": n,
@@ -48,7 +48,7 @@ def surface_sums(cells: DataFrame) -> DataFrame:
     }
     recent = {f"{c}_recent": F.when(F.col("recent"), x) for c, x in own.items()}
     surface = F.nanvl("surface", F.lit(None)).alias("surface")
-    return cells.groupBy(*MARKET, surface).agg(*[F.sum(x).alias(c) for c, x in (own | recent).items()])
+    return cells.select(*MARKET, surface, *[x.alias(c) for c, x in (own | recent).items()])
 
 
 def _ends(surface: Column, o: Options) -> tuple[Column, Column]:
@@ -82,7 +82,7 @@ def choose_tier(probes: DataFrame, cells: DataFrame, o: Options = DEFAULTS) -> D
     A band with too few sales widens to its market; then recent sales are preferred if
     there are enough of them.
     """
-    counted = surface_sums(cells)
+    counted = with_moments(cells)
     pool = counted.groupBy(*MARKET).agg(*[F.sum(c).alias(f"{c}_pool") for c in SUMS]).withColumnsRenamed(AS_PROBE)
     low, high = _ends(F.col("surface_m2"), o)
     asked = probes.select(*PROBE, low.alias("low"), high.alias("high")).withColumnsRenamed({v: k for k, v in AS_PROBE.items()})

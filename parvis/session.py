@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,20 +18,24 @@ def with_defaults(builder: SparkSession.Builder) -> SparkSession.Builder:
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and return it with that file as its plan.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a scratch folder of its own.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; a local session without it gets a scratch folder."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get(
-            "spark.checkpoint.dir", None
-        )
+        folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not context.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
             folder = tempfile.mkdtemp(prefix="run-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and return the written table.
+
+    Readers of the table take only the columns they need, and its size is known to the planner.
+    """
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
