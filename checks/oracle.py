@@ -49,6 +49,14 @@ select listing_id, case row_idx % 4
 from {listings}
 """
 
+# Sales as text, some with fields that cannot be read.
+DIRTY_SALES_SQL = """
+select id_mutation, case when unreadable_date then '30/02/2024' else cast(date_mutation as string) end as date_mutation,
+  code_postal, type_local, case when unreadable_surface then 'forty' else cast(surface_reelle_bati as string) end as surface_reelle_bati,
+  valeur_fonciere, nombre_pieces_principales, unreadable_date, unreadable_surface
+from (select *, code_postal % 7 = 3 as unreadable_date, cast(floor(surface_reelle_bati) as int) % 11 = 4 as unreadable_surface from {sales})
+"""
+
 # Listings that lost their zip along with their address, so that some stay without any.
 UNPLACED_SQL = """
 select row_idx, listing_id, raw_address, description,
@@ -268,6 +276,7 @@ BLOCKS |= {
     "truth": """select *, case pricing_bias when 'over' then 'overvalued' when 'under' then 'undervalued'
         when 'fair' then 'fair' end as signal_gt from labelled
       where pricing_bias in ('over', 'under', 'fair')""",
+    "dirty_sales": DIRTY_SALES_SQL.format(sales="sales"),
     "unplaced": UNPLACED_SQL.format(listings="listings"),
     "address_answers": ADDRESS_ANSWERS_SQL.format(listings="unplaced"),
     "parsed_answers": r"""select listing_id, response_text,
@@ -348,15 +357,33 @@ FINAL = {
       confidence_score from all_scored""",
     "statistical_value": """select zipcode, property_type, surface_m2, round(predicted, 6) as predicted_m2,
       round(low, 6) as low_m2, round(high, 6) as high_m2 from all_predicted""",
-    "quantile_model": """select zipcode, property_type, surface_m2, true as ordered, true as inside from all_predicted""",
-    "quantile_model_metrics": """select 'forest' as model, count(prix_m2) as n_train, true as better_than_one_price
-      from sales""",
-    "valuation_forest": """select listing_id, zipcode, n_comparables, true as ordered, true as labelled from labelled""",
+    "quantile_model": """select zipcode, property_type, surface_m2, least, most, true as ordered, true as inside
+      from all_predicted join (select code_postal as zipcode, type_local as property_type,
+        round(min(prix_m2), 6) as least, round(max(prix_m2), 6) as most from sales group by all) using (zipcode, property_type)""",
+    "quantile_model_metrics": """select 'forest' as model, count(prix_m2) as n_train, true as better_than_one_price,
+      true as no_worse_than_markets, true as covers from sales""",
+    "stored_model_value": """select zipcode, property_type, surface_m2, round(predicted, 6) as predicted_m2,
+      round(low, 6) as low_m2, round(high, 6) as high_m2 from all_predicted""",
+    "stored_forest": "select zipcode, property_type, surface_m2, true as same from all_probes",
+    "valuation_forest": """select listing_id, zipcode, n_comparables, true as ordered, true as inside, true as labelled
+      from labelled""",
+    "listings_scan": "select * exclude (row_idx) replace (nullif(raw_address, '') as raw_address), true as whole from listings",
+    "sales_scan": """select id_mutation, date_mutation, code_postal, type_local, surface_reelle_bati,
+      round(valeur_fonciere, 6) as valeur_fonciere, nombre_pieces_principales from sales""",
+    "sales_rejects": """select id_mutation, concat_ws('; ',
+        case when unreadable_date then 'date_mutation is no date: ' || date_mutation end,
+        case when unreadable_surface then 'surface_reelle_bati is no double: ' || surface_reelle_bati end) as reasons
+      from dirty_sales where unreadable_date or unreadable_surface""",
+    "clean_file": "select * replace (nullif(raw_address, '') as raw_address) from clean",
+    "log_file": "select * exclude (removed_idx) from log",
+    "addressed_file": """select row_idx, listing_id, address_clean, address_zipcode, address_confidence, address_method
+      from addressed""",
+    "results_file": f"select {RESULTS} from memos",
     "run_metrics": """select 'statistical' as model, round(avg(abs(prix_m2 - q50)), 6) as mae_m2,
       round(avg(abs(prix_m2 - q50) / prix_m2) * 100, 6) as mape_pct, count(prix_m2) as n_train
       from sales join quantiles using (code_postal, type_local)""",
     "sales_of_listings": """select zipcode, property_type, t.surface_m2, id_mutation, date_mutation, round(prix_m2, 6) as prix_m2
-      from (select distinct zipcode, property_type, surface_m2 from (select * from all_placed order by row_idx limit 5)) asked
+      from (select distinct zipcode, property_type, surface_m2 from (select * from all_placed where row_idx % 50 = 0)) asked
       join all_tiers t using (zipcode, property_type, surface_m2)
       join sales s on s.code_postal = zipcode and s.type_local = property_type
       where (not in_band or surface_reelle_bati between t.surface_m2 * 0.7e0 and t.surface_m2 * 1.3e0)

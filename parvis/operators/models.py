@@ -1,15 +1,21 @@
 """Price models: three ordered quantiles of the price per square metre.
 
-``StatisticalModel`` uses the quantiles of a market. ``ForestModel`` averages leaf quantiles:
-trees are grown for the mean, each tree gives the quantiles of the training sales in the leaf
-a listing falls into, and the trees' quantiles are averaged.
+``StatisticalModel`` uses the quantiles of a market. ``ForestModel`` weighs training sales by the
+leaves they share with a listing: trees are grown for the mean, every tree spreads the weight 1
+evenly over the sales of the leaf that the listing falls into, and the quantiles are those of
+the sales so weighted, pooled over all trees (Meinshausen 2006). Leaves are kept as histograms
+over at most ``Options.price_cuts`` prices, so the model's size follows from its parameters
+alone and a prediction needs no join.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pandas as pd
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -20,7 +26,6 @@ from ..functions.scoring import features, scoring_rooms
 from ..options import DEFAULTS, Options
 from ..session import cut_lineage
 from .market import MARKET, market_quantiles, sales_cells
-from .quantiles import grouped_quantiles
 from .spread import keys_with_slices, look_up
 
 QUANTILES = ["q10", "q50", "q90"]
@@ -55,6 +60,23 @@ def _errors(scored: DataFrame, model: str) -> DataFrame:
     )
 
 
+def predict_by_market(requests: DataFrame, quantiles: DataFrame) -> DataFrame:
+    """Requests with comparable figures, plus the prediction from the ``quantiles`` of their market.
+
+    A market without training sales falls back on the comparables of the request.
+    """
+    quantiles = quantiles.withColumnsRenamed({"code_postal": "zipcode", "type_local": "property_type"})
+    median, std = F.col("market_median_m2"), F.col("market_std_m2")
+    spread = fixed.NORMAL_80 * F.coalesce(F.nullif(std, F.lit(0.0)), median * fixed.ASSUMED_SPREAD)
+    known = F.col("q50").isNotNull()
+    return requests.join(quantiles, ["zipcode", "property_type"], "left").select(
+        *requests.columns,
+        F.when(known, F.col("q50")).otherwise(median).alias(PREDICTION[0]),
+        F.when(known, F.col("q10")).otherwise(median - spread).alias(PREDICTION[1]),
+        F.when(known, F.col("q90")).otherwise(median + spread).alias(PREDICTION[2]),
+    )
+
+
 @dataclass(frozen=True)
 class StatisticalModel:
     cells: DataFrame
@@ -65,20 +87,7 @@ class StatisticalModel:
         return market_quantiles(self.cells, self.options)
 
     def predict(self, requests: DataFrame) -> DataFrame:
-        """Requests with comparable figures, plus the prediction.
-
-        A market without training sales falls back on the comparables of the request.
-        """
-        quantiles = self.quantiles.withColumnsRenamed({"code_postal": "zipcode", "type_local": "property_type"})
-        median, std = F.col("market_median_m2"), F.col("market_std_m2")
-        spread = fixed.NORMAL_80 * F.coalesce(F.nullif(std, F.lit(0.0)), median * fixed.ASSUMED_SPREAD)
-        known = F.col("q50").isNotNull()
-        return requests.join(quantiles, ["zipcode", "property_type"], "left").select(
-            *requests.columns,
-            F.when(known, F.col("q50")).otherwise(median).alias(PREDICTION[0]),
-            F.when(known, F.col("q10")).otherwise(median - spread).alias(PREDICTION[1]),
-            F.when(known, F.col("q90")).otherwise(median + spread).alias(PREDICTION[2]),
-        )
+        return predict_by_market(requests, self.quantiles)
 
     def metrics(self) -> DataFrame:
         sliced = self.cells.filter(F.col("price").isNotNull()).withColumn(
@@ -91,46 +100,73 @@ class StatisticalModel:
 @dataclass(frozen=True)
 class ForestModel:
     trees: RandomForestRegressionModel
+    prices: list[float]
+    """Mean price of the sales in each bucket between two cuts, rising."""
     leaves: DataFrame
+    """(tree, leaf, bucket, n): sales of a leaf by price."""
     training: DataFrame
+    options: Options = DEFAULTS
 
-    def _scored(self, rows: DataFrame, keys: list[str]) -> DataFrame:
-        """Average leaf quantiles of rows that are unique on ``keys`` and hold the features."""
+    def _shares(self) -> tuple[np.ndarray, np.ndarray]:
+        """First row of each tree, and per leaf the share of its sales in every bucket."""
+        # At most trees x leaves x cuts rows, all of them parameters.
+        rows = self.leaves.toPandas()
+        sizes = rows.groupby("tree")["leaf"].max().reindex(range(self.trees.getNumTrees), fill_value=-1) + 1
+        first = np.concatenate(([0], np.cumsum(sizes.to_numpy())))
+        shares = np.zeros((first[-1], len(self.prices)), np.float32)
+        shares[first[rows["tree"].to_numpy()] + rows["leaf"].to_numpy(), rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+        return first[:-1], shares / np.maximum(shares.sum(axis=1, keepdims=True), 1)
+
+    def scored(self, rows: DataFrame) -> DataFrame:
+        """``rows``, which hold the features, with q10, q50 and q90."""
+        first, shares = self._shares()
+        held = rows.sparkSession.sparkContext.broadcast((first, shares, np.array(self.prices)))
         vectors = VectorAssembler(inputCols=fixed.FEATURES, outputCol="features").transform(rows)
-        in_trees = self.trees.transform(vectors).drop("features", "prediction")
-        per_tree = in_trees.select(
-            *rows.columns, F.posexplode(vector_to_array("leaves")).alias("tree", "leaf")
-        ).withColumn("leaf", F.col("leaf").cast("int"))
-        others = [c for c in rows.columns if c not in keys]
-        # Trees and depth are parameters, so they bound the number of leaves.
-        return (
-            per_tree.join(F.broadcast(self.leaves), ["tree", "leaf"])
-            .groupBy(*keys)
-            .agg(*[F.any_value(c).alias(c) for c in others], *[F.avg(q).alias(q) for q in QUANTILES])
-        )
+        in_trees = self.trees.transform(vectors).withColumn("quantiles", _weighted_quantiles(held)(vector_to_array("leaves")))
+        return in_trees.select(*rows.columns, *[F.col("quantiles")[i].alias(q) for i, q in enumerate(QUANTILES)])
 
     def predict(self, requests: DataFrame) -> DataFrame:
         """Requests with comparable figures, plus the prediction."""
         keys = ["zipcode", "property_type", "surface_m2"]
-        scoring = scoring_columns()
+        scoring = scoring_columns(self.options)
         named = [f for f in fixed.FEATURES if f not in keys]
-        scored = self._scored(requests.select(*keys, *[scoring[f].alias(f) for f in named]), keys)
+        scored = self.scored(requests.select(*keys, *[scoring[f].alias(f) for f in named]))
         scored = scored.select(*keys, *[F.col(q).alias(p) for q, p in zip(["q50", "q10", "q90"], PREDICTION)])
         return requests.join(scored, keys)
 
     def metrics(self) -> DataFrame:
-        return _errors(self._scored(self.training, [*fixed.FEATURES, "price"]), "forest")
+        return _errors(self.scored(self.training), "forest")
+
+
+def _weighted_quantiles(held):
+    """UDF from the leaves of a row, one per tree, to its three quantiles."""
+    levels = np.array(fixed.QUANTILES)
+
+    @F.pandas_udf("array<double>")
+    def quantiles(leaves: pd.Series) -> pd.Series:
+        first, shares, prices = held.value
+        found = []
+        for low in range(0, len(leaves), 2048):
+            at = np.stack(leaves.iloc[low : low + 2048].to_list()).astype(np.int64) + first
+            upto = np.cumsum(sum(shares[at[:, tree]].astype(np.float64) for tree in range(at.shape[1])), axis=1)
+            # The first price up to which the share of the weight lies; a share is met but for rounding.
+            wanted = levels[None, :] * upto[:, -1:] * (1 - 1e-6)
+            found += list(prices[(upto[:, None, :] < wanted[:, :, None]).sum(axis=2)])
+        return pd.Series(found)
+
+    return quantiles
 
 
 def fit_forest(
     sales: DataFrame, o: Options = DEFAULTS, seed: int = 17
 ) -> ForestModel:
-    """Grow the trees, then read the quantiles of every leaf off the counted cells of the sales.
+    """Grow the trees, then count the sales of every leaf by price in one pass.
 
     Sales that lack a feature or the price take no part; ``n_train`` of the metrics counts the others.
     """
     rows = training_features(sales).na.drop()
-    vectors = VectorAssembler(inputCols=fixed.FEATURES, outputCol="features").transform(rows)
+    counted = cut_lineage(rows.groupBy(*fixed.FEATURES, "price").agg(F.count(F.lit(1)).alias("n")))
+    assembler = VectorAssembler(inputCols=fixed.FEATURES, outputCol="features")
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol="price",
@@ -142,15 +178,25 @@ def fit_forest(
         featureSubsetStrategy="all",
         seed=seed,
     )
-    trees = forest.fit(vectors.select("features", "price"))
-    counted = cut_lineage(rows.groupBy(*fixed.FEATURES, "price").agg(F.count(F.lit(1)).alias("n")))
-    vectors = VectorAssembler(inputCols=fixed.FEATURES, outputCol="features").transform(counted)
-    in_leaves = trees.transform(vectors).select(
-        "price", "n", F.posexplode(vector_to_array("leaves")).alias("tree", "leaf")
+    trees = forest.fit(assembler.transform(rows).select("features", "price"))
+    shares = [i / o.price_cuts for i in range(1, o.price_cuts)]
+    cuts = sorted(set(counted.approxQuantile("price", shares, 0.1 / o.price_cuts)))
+    buckets = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="price", outputCol="bucket")
+    per_tree = buckets.transform(trees.transform(assembler.transform(counted))).select(
+        "price", "n", F.col("bucket").cast("int").alias("bucket"), F.posexplode(vector_to_array("leaves")).alias("tree", "leaf")
+    )
+    counts = per_tree.groupBy("tree", F.col("leaf").cast("int").alias("leaf"), "bucket").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("price")).alias("total")
     )
-    in_leaves = cut_lineage(in_leaves.withColumn("leaf", F.col("leaf").cast("int")))
-    leaves = grouped_quantiles(in_leaves, ["tree", "leaf"], fixed.QUANTILES, QUANTILES, o.bucket_width)
-    return ForestModel(trees, cut_lineage(leaves.drop("n_values")), counted)
+    counts = cut_lineage(counts)
+    means = counts.filter("tree = 0").groupBy("bucket").agg(F.sum("total") / F.sum("n")).collect()
+    means = dict(tuple(r) for r in means)
+    # Buckets without a sale get no weight; their price only keeps the order.
+    prices, last = [], min(means.values())
+    for bucket in range(len(cuts) + 1):
+        last = means.get(bucket, last)
+        prices.append(last)
+    return ForestModel(trees, prices, counts.drop("total"), counted, o)
 
 
 def fit_quantiles(

@@ -45,6 +45,8 @@ class Options:
     tree_depth: int = 8
     tree_bins: int = 64
     leaf_rows: int = 20
+    price_cuts: int = 512
+    """Prices by which the sales of a leaf are counted."""
 
     # Physical knobs; none of them changes a result.
     slices: int = 64

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,18 @@ from ..operators.models import ForestModel, StatisticalModel, fit_quantiles
 from ..operators.valuation import results, value, write_memos
 from ..options import DEFAULTS, Options
 from ..session import cut_lineage
-from ..sources.tables import read_answers, read_listings, read_sales, write_table
-from .ingest import deduplicate
+from ..sources import schemas
+from ..sources.tables import (
+    fingerprint,
+    read_answers,
+    read_listings,
+    read_removals,
+    read_sales,
+    read_table,
+    rejects,
+    write_table,
+)
+from .ingest import deduplicate, removals, without_removed
 
 
 def fit_market(
@@ -75,6 +87,33 @@ def run(
     return Run(clean, log, addressed, valued.withColumn("report_full", memo_text()), results(valued), model.metrics())
 
 
+class Stages:
+    """The stages of a run below one folder. A stage counts as done once its mark is written.
+
+    The mark holds the key of the run: options, arguments and the fingerprint of the inputs. A
+    run with the same key goes on at the first stage without a mark; with another key all
+    stages are made anew.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, key: str):
+        self.spark, self.folder, self.key = spark, folder, key
+
+    def _is_done(self, stage: str) -> bool:
+        try:
+            mark = self.spark.read.schema("key string").parquet(f"{self.folder}/stages/{stage}").first()
+        except AnalysisException:
+            return False
+        return mark is not None and mark["key"] == self.key
+
+    def make(self, stage: str, path: str, table: Callable[[], DataFrame]) -> None:
+        """Write ``table()`` to ``path`` and mark the stage, unless it is done."""
+        if self._is_done(stage):
+            return
+        write_table(table(), path)
+        mark = self.spark.createDataFrame([(self.key,)], "key string").coalesce(1)
+        mark.write.mode("overwrite").parquet(f"{self.folder}/stages/{stage}")
+
+
 def run_files(
     spark: SparkSession,
     listings_path: str,
@@ -90,10 +129,15 @@ def run_files(
 ) -> DataFrame:
     """Run on stored tables and write every stage below ``output_dir``; returns the results.
 
-    Each stage is read back from its file, so a lost executor never repeats an earlier one.
-    ``multi_line`` concerns CSV whose texts hold line breaks.
+    Each stage is read back from its file, so a lost executor never repeats an earlier one, and
+    a run that failed goes on at its first missing stage (``Stages``). Fields that cannot be read
+    are listed in the stage ``rejects``. ``multi_line`` concerns CSV whose texts hold line breaks.
     """
     ending = ".csv" if file_format == "csv" else ""
+    inputs = [p for p in (listings_path, sales_path, address_answers_path, memo_answers_path) if p]
+    stages = Stages(
+        spark, output_dir, repr((o, method, max_listings, file_format, multi_line, inputs, fingerprint(spark, *inputs)))
+    )
 
     def path(stage: str) -> str:
         return f"{output_dir}/{stage}{ending}"
@@ -101,21 +145,39 @@ def run_files(
     def answers(stored: str | None) -> DataFrame | None:
         return read_answers(spark, stored, multi_line) if stored else None
 
-    clean, log = deduplicate(read_listings(spark, listings_path, multi_line), o)
-    write_table(log, path("dedup_log"))
-    write_table(clean, path("listings_clean"))
-    clean = read_listings(spark, path("listings_clean"), multi_line)
-
-    addressed = enrich_addresses(first_n_listings(clean, max_listings), answers(address_answers_path))
-    write_table(addressed, path("listings_addressed"))
-    addressed = read_listings(spark, path("listings_addressed"), multi_line).withColumns(
-        {
-            "address_zipcode": F.col("address_zipcode").try_cast("int"),
-            "address_confidence": F.col("address_confidence").try_cast("double"),
-        }
-    )
-    cells, model = fit_market(read_sales(spark, sales_path), o, method)
-    write_table(model.metrics(), path("training_metrics"))
-    valued = results(appraise(addressed, cells, model, o, answers(memo_answers_path)))
-    write_table(valued, path("valuation_results"))
-    return valued
+    def unread() -> DataFrame:
+        found = rejects(spark, listings_path, schemas.LISTINGS, multi_line)
+        return found.unionByName(rejects(spark, sales_path, schemas.SALES))
+
+    def clean() -> DataFrame:
+        removed = read_removals(spark, path("removals"))
+        return without_removed(read_listings(spark, listings_path, multi_line), removed)
+
+    def addressed() -> DataFrame:
+        rows = first_n_listings(read_listings(spark, path("listings_clean"), multi_line), max_listings)
+        return enrich_addresses(rows, answers(address_answers_path))
+
+    fitted = []
+
+    def market() -> tuple[DataFrame, StatisticalModel | ForestModel]:
+        if not fitted:
+            fitted.extend(fit_market(read_sales(spark, sales_path), o, method))
+        return tuple(fitted)
+
+    def valued() -> DataFrame:
+        rows = read_listings(spark, path("listings_addressed"), multi_line).withColumns(
+            {
+                "address_zipcode": F.col("address_zipcode").try_cast("int"),
+                "address_confidence": F.col("address_confidence").try_cast("double"),
+            }
+        )
+        return results(appraise(rows, *market(), o, answers(memo_answers_path)))
+
+    stages.make("rejects", path("rejects"), unread)
+    stages.make("removals", path("removals"), lambda: removals(read_listings(spark, listings_path, multi_line), o))
+    stages.make("dedup_log", path("dedup_log"), lambda: read_removals(spark, path("removals")).select(*schemas.DEDUP_LOG.fieldNames()))
+    stages.make("listings_clean", path("listings_clean"), clean)
+    stages.make("listings_addressed", path("listings_addressed"), addressed)
+    stages.make("training_metrics", path("training_metrics"), lambda: market()[1].metrics())
+    stages.make("valuation_results", path("valuation_results"), valued)
+    return read_table(spark, path("valuation_results"), schemas.RESULTS)

@@ -19,12 +19,16 @@ def removals(listings: DataFrame, o: Options = DEFAULTS) -> DataFrame:
     return cut_lineage(exact_log(marked).unionByName(near_log(exact_survivors(marked), o)))
 
 
+def without_removed(listings: DataFrame, removed: DataFrame) -> DataFrame:
+    """``listings`` with ``address_norm``, but for the rows of the log ``removed``."""
+    flagged = removed.select(F.col("removed_idx").alias("row_idx"))
+    return with_normal_address(listings).join(flagged, "row_idx", "left_anti").select(*listings.columns, "address_norm")
+
+
 def deduplicate(listings: DataFrame, o: Options = DEFAULTS) -> tuple[DataFrame, DataFrame]:
     """(clean listings with ``address_norm``, removal log)."""
     removed = removals(listings, o)
-    flagged = removed.select(F.col("removed_idx").alias("row_idx"))
-    clean = with_normal_address(listings).join(flagged, "row_idx", "left_anti").select(*listings.columns, "address_norm")
-    return clean, removed.select(*DEDUP_LOG.fieldNames())
+    return without_removed(listings, removed), removed.select(*DEDUP_LOG.fieldNames())
 
 
 def dedup_summary(listings: DataFrame, log: DataFrame) -> DataFrame:

@@ -48,3 +48,30 @@ DEDUP_LOG = _table(
 )
 
 ANSWERS = _table(("listing_id", StringType()), ("response_text", StringType()))
+
+REMOVALS = StructType([StructField("removed_idx", LongType(), True), *DEDUP_LOG.fields])
+
+RESULTS = _table(
+    ("listing_id", StringType()),
+    ("address", StringType()),
+    ("zipcode", IntegerType()),
+    ("surface_m2", DoubleType()),
+    ("asking_price", LongType()),
+    ("fair_value", LongType()),
+    ("ci_low", LongType()),
+    ("ci_high", LongType()),
+    ("predicted_m2", DoubleType()),
+    ("market_m2", DoubleType()),
+    ("price_gap_pct", DoubleType()),
+    ("signal", StringType()),
+    ("signal_strength", StringType()),
+    ("confidence_score", DoubleType()),
+    ("n_comparables", LongType()),
+    ("freshness_days", DoubleType()),
+    ("trend_pct", DoubleType()),
+    ("executive_summary", StringType()),
+    ("recommendation", StringType()),
+    ("report_full", StringType()),
+    ("generated_by", StringType()),
+    ("pricing_bias_gt", StringType()),
+)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, StringType, StructType
 
+from ..session import cut_lineage
 from . import schemas
 
 
@@ -60,24 +61,70 @@ def read_answers(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     return _conform(_scan(spark, path, multi_line), schemas.ANSWERS, set())
 
 
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table that ``write_table`` has written, with the types of ``schema``."""
+    multi_line = _kind(path) == "csv"
+    return _conform(_scan(spark, path, multi_line), schema, set()).select(*schema.fieldNames())
+
+
+def read_removals(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path, schemas.REMOVALS)
+
+
+def rejects(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
+    """(file, reasons, record) of the rows in which a filled field could not be read as its type.
+
+    Such fields are null in the tables that ``read_listings`` and ``read_sales`` return; the
+    record is kept here as JSON text. Empty fields and NaN are missing, not unreadable.
+    """
+    raw = _scan(spark, path, multi_line)
+    reasons = []
+    for field in schema:
+        if field.name in raw.columns and not isinstance(field.dataType, StringType):
+            text = F.trim(F.col(field.name).cast("string"))
+            filled = F.coalesce((text != "") & (F.lower(text) != "nan"), F.lit(False))
+            unread = filled & _typed(field.name, field.dataType).isNull()
+            reasons.append(F.when(unread, F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), text)))
+    found = F.concat_ws("; ", *reasons) if reasons else F.lit("")
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns]))
+    return raw.select(F.col("_metadata.file_path").alias("file"), found.alias("reasons"), record.alias("record")).filter("reasons <> ''")
+
+
 def number_rows(spark: SparkSession, path: str, numbered_path: str, multi_line: bool = False) -> DataFrame:
     """Store the listings of ``path`` with a ``row_idx`` and return the stored table.
 
-    The number grows along each file; which file comes first is up to the scan. It is
-    written out because a later scan may split the files in another way.
+    Rows count from 0 in the order of file paths and of rows in a file, however the files are
+    split: a task numbers the rows of a block, and running sums over the blocks, one row each,
+    give every block its start.
     """
-    numbered = _scan(spark, path, multi_line).withColumn("row_idx", F.monotonically_increasing_id())
+    block = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    rows = cut_lineage(_scan(spark, path, multi_line).select("*", *block, F.monotonically_increasing_id().alias("_at")))
+    blocks = rows.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    number = (F.col("_start") + F.col("_at") - F.col("_first")).alias("row_idx")
+    kept = [c for c in rows.columns if c not in ("_file", "_block", "_at")]
+    numbered = rows.join(starts, ["_file", "_block"]).select(*[F.col(f"`{c}`") for c in kept if c != "row_idx"], number)
     numbered.write.mode("overwrite").parquet(numbered_path)
     return read_listings(spark, numbered_path)
 
 
+def fingerprint(spark: SparkSession, *paths: str) -> str:
+    """Changes with the names, sizes and times of the files below ``paths``; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    marks = F.xxhash64("path", "length", "modificationTime")
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("size"), F.bit_xor(marks).alias("marks")).first()
+    return f"{row['n']}-{row['size']}-{row['marks']}"
+
+
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Overwrite ``path`` with ``df``; the ending picks CSV (with header) or Parquet."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if _kind(path) == "csv":
-        # Quotes inside a field are doubled, as other CSV readers expect.
-        writer.options(header=True, quote='"', escape='"').csv(path)
+        # Quotes inside a field are doubled, as other CSV readers expect; blanks around it stay.
+        blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        writer.options(header=True, quote='"', escape='"', **blanks).csv(path)
     else:
         writer.parquet(path)

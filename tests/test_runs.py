@@ -5,10 +5,11 @@ from checks.compare import connect, difference
 from checks.queries import QUERIES
 from parvis import fixed
 from parvis.operators.evaluation import signal_accuracy
+from parvis.plans import appraisal, model_store
 from parvis.plans.appraisal import run, run_files
 from parvis.plans.ingest import ingest
-from parvis.sources import derived
-from parvis.sources.tables import number_rows, read_listings, read_sales, write_table
+from parvis.sources import derived, schemas
+from parvis.sources.tables import fingerprint, number_rows, read_listings, read_sales, rejects, write_table
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -93,3 +94,82 @@ def test_limit(spark):
     assert {r.listing_id for r in capped.results.collect()} == {
         r.listing_id for r in full.results.collect() if r.listing_id in ids
     }
+
+
+@pytest.mark.parametrize("ending", ["", ".csv"])
+def test_numbers_do_not_depend_on_splits(spark, tmp_path, ending):
+    path = f"{tmp_path}/many{ending}"
+    rows = derived.listings(spark, FOLDER).drop("row_idx")
+    rows.unionAll(rows).unionAll(rows).repartition(3).write.format("csv" if ending else "parquet").options(header=True).save(path)
+    setting, found = "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(setting)
+    for size in ("700", "9000", "128m"):
+        spark.conf.set(setting, size)
+        numbered = number_rows(spark, path, f"{tmp_path}/numbered-{size}")
+        found.append({r.row_idx: r.listing_id for r in numbered.collect()})
+    spark.conf.set(setting, before)
+    assert sorted(found[0]) == list(range(3 * rows.count()))
+    assert found[0] == found[1] == found[2]
+
+
+def test_rejects(spark, tmp_path):
+    (tmp_path / "s.csv").write_text(
+        "date_mutation,valeur_fonciere,code_postal,type_local,surface_reelle_bati\n"
+        "2024-02-30,1,75001,Maison,2\n2024-02-28,NaN,75001,Maison,\n2024-02-28,x,7500l,Maison,3\n"
+    )
+    got = rejects(spark, f"{tmp_path}/s.csv", schemas.SALES).orderBy("reasons").collect()
+    assert [r.reasons for r in got] == [
+        "code_postal is no int: 7500l; valeur_fonciere is no double: x", "date_mutation is no date: 2024-02-30",
+    ]
+    assert all(r.file.endswith("s.csv") and '"type_local":"Maison"' in r.record for r in got)
+
+
+def test_a_failed_run_goes_on_at_its_first_missing_stage(spark, tmp_path, monkeypatch):
+    raw, sold, out = f"{tmp_path}/raw", f"{tmp_path}/sold", f"{tmp_path}/out"
+    write_table(derived.listings(spark, FOLDER), raw)
+    write_table(derived.sales(spark, FOLDER), sold)
+    made, write = [], appraisal.write_table
+
+    def counting(df, path):
+        made.append(path.rsplit("/", 1)[-1])
+        write(df, path)
+
+    def failing(df, path):
+        if path.endswith("listings_addressed"):
+            raise OSError("the cluster is gone")
+        counting(df, path)
+
+    monkeypatch.setattr(appraisal, "write_table", failing)
+    with pytest.raises(OSError):
+        run_files(spark, raw, sold, out)
+    assert made == ["rejects", "removals", "dedup_log", "listings_clean"]
+    made.clear()
+    monkeypatch.setattr(appraisal, "write_table", counting)
+    first = sorted(run_files(spark, raw, sold, out).collect())
+    assert made == ["listings_addressed", "training_metrics", "valuation_results"]
+    made.clear()
+    assert sorted(run_files(spark, raw, sold, out).collect()) == first and made == []
+    # Other options, or another input, make every stage anew.
+    run_files(spark, raw, sold, out, max_listings=5)
+    assert len(made) == 7
+    before = fingerprint(spark, raw, sold)
+    write_table(derived.sales(spark, FOLDER).limit(300), sold)
+    assert fingerprint(spark, raw, sold) != before
+
+
+@pytest.mark.parametrize("method", ["statistical", "forest"])
+def test_stored_models(spark, tmp_path, method):
+    sales = derived.sales(spark, FOLDER)
+    cells, model = appraisal.fit_market(sales, method=method)
+    path = f"{tmp_path}/model"
+    with pytest.raises(model_store.ModelNotTrained):
+        model_store.load_model(spark, path)
+    model_store.save_model(model, path)
+    loaded = model_store.load_model(spark, path)
+    assert loaded.metrics().collect() == model.metrics().collect()
+    asked = run(derived.listings(spark, FOLDER), sales).addressed.limit(60)
+    valued = [sorted(map(repr, appraisal.appraise(asked, cells, m).select("listing_id", "fair_value", "ci_low", "ci_high").collect())) for m in (model, loaded)]
+    assert valued[0] == valued[1] and len(valued[0]) > 30
+    spark.createDataFrame([(99, "forest", "2024-06-01")], "format int, kind string, scoring_date string").write.mode("overwrite").parquet(f"{path}/manifest")
+    with pytest.raises(model_store.ModelNotTrained):
+        model_store.load_model(spark, path)
