@@ -75,3 +75,24 @@ def test_messy_texts(docs, plain, empty):
     assert kept.dtypes == docs.dtypes
     assert Counter(r["doc_id"] for r in kept.collect()) == keepers_oracle(plain)
     assert near_copies.keep_one(empty).count() == 0
+
+
+def test_template_crowds_do_not_pair_up(spark):
+    """Documents that share 150 of 180 words have a similarity under 0.8: pairs grow with the crowd, not with its square."""
+    rng = random.Random(9)
+    prose = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    template, listed = prose(150), []
+    for size in (100, 200):
+        texts = [" ".join(template + prose(30)) for _ in range(size)]
+        texts += [" ".join(t.split()[:-2] + ["new", "end"]) for t in texts[:5]]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found = [near_copies.shingles(t.encode()) for t in texts]
+        nodes = [near_copies.set_id(f) for f in found]
+        signed = [n - 2**64 if n >= 2**63 else n for n in nodes]
+        sets = spark.createDataFrame([(n, f.tobytes()) for n, f in zip(signed, found)], "node long, members binary")
+        rooted = spark.createDataFrame([(n, len(f), n) for n, f in zip(signed, found)], "node long, size long, root long")
+        pairs = {tuple(sorted(r)) for r in near_copies.sharing_a_rare_shingle(rooted, sets).collect()}
+        assert {tuple(sorted((signed[i], signed[size + i]))) for i in range(5)} <= pairs
+        listed.append(len(pairs))
+        assert Counter(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == keepers_oracle(list(enumerate(texts)))
+    assert max(listed) < 100
