@@ -19,7 +19,7 @@ import numpy as np
 
 SPACE, LETTER, DIGIT, OTHER = range(4)
 BASE = 0x9E3779B97F4A7C15
-SPAN = 1 << 20
+SPAN = 1 << 18
 """Characters looked at together."""
 
 
@@ -59,9 +59,9 @@ class WordTokens:
 
     def forget(self) -> None:
         self.keys = np.empty(0, np.uint64)
-        self.at, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.at, self.count = np.empty(0, np.int32), np.empty(0, np.int32)
         self.flat = np.empty(0, "<u4")
-        self.size, self.letters_at, self.letters = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, "<u2")
+        self.size, self.letters_at, self.letters = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, "<u2")
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         found: list = [None] * len(texts)
@@ -174,4 +174,6 @@ class WordTokens:
 def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All places of runs with these starts and sizes, one run after the other."""
     before = np.cumsum(sizes) - sizes
-    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+    places = np.repeat((starts - before).astype(np.int32), sizes)
+    places += np.arange(len(places), dtype=np.int32)
+    return places
