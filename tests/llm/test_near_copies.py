@@ -96,3 +96,43 @@ def test_template_crowds_do_not_pair_up(spark):
         listed.append(len(pairs))
         assert Counter(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == keepers_oracle(list(enumerate(texts)))
     assert max(listed) < 100
+
+
+def test_sketches_never_differ_by_more_than_their_sets():
+    rng = random.Random(3)
+    for n in (0, 1, 5, 200, 3000):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+        for changed in (0, 1, n // 20, n // 3):
+            copy = list(words)
+            for at in rng.sample(range(n), min(n, changed)):
+                copy[at] = "changed"
+            x, y = (near_copies.shingles(" ".join(w).encode()) for w in (words, copy))
+            bits = sum((int(a) ^ int(b)).bit_count() for a, b in zip(near_copies.parity(x).view("uint64"), near_copies.parity(y).view("uint64")))
+            assert bits <= len(set(x.tolist()) ^ set(y.tolist()))
+
+
+def test_crowd_of_copies_at_every_distance(spark):
+    """Copies of one text with 1 to 12 changed words: some are linked by chains, some by none, and few pairs meet in vain."""
+    rng = random.Random(11)
+    base, texts = [f"w{rng.randint(0, 10**6)}" for _ in range(150)], []
+    for i in range(240):
+        copy = list(base)
+        for at in rng.sample(range(150), 1 + i % 12):
+            copy[at] = f"c{rng.randint(0, 10**6)}"
+        texts.append(" ".join(copy))
+    sets = [near_copies.shingles(t.encode()) for t in texts]
+    nodes = [near_copies.set_id(f) for f in sets]
+    signed = [n - 2**64 if n >= 2**63 else n for n in nodes]
+    held = spark.createDataFrame([(n, f.tobytes()) for n, f in zip(signed, sets)], "node long, members binary")
+    rooted = spark.createDataFrame([(n, len(f), n) for n, f in zip(signed, sets)], "node long, size long, root long")
+    met = {tuple(sorted(r)) for r in near_copies.sharing_a_rare_shingle(rooted, held).collect()}
+    plain = [set(f.tolist()) for f in sets]
+    similar = {
+        tuple(sorted((signed[i], signed[j])))
+        for j in range(len(plain)) for i in range(j)
+        if 5 * len(plain[i] & plain[j]) >= 4 * len(plain[i] | plain[j])
+    }
+    assert similar <= met
+    assert len(met) < 1.2 * len(similar)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert Counter(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == keepers_oracle(list(enumerate(texts)))
