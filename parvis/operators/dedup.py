@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import normalize_address
 from ..options import DEFAULTS, Options
-from .spread import slice_of
+from ..session import cut_lineage
+from .spread import KEY_ROWS, copies, deal
 
 EXACT_KEY = ["address_norm", "surface_m2", "code_postal"]
 NARROW = ["row_idx", "listing_id", *EXACT_KEY, "asking_price"]
@@ -27,24 +28,23 @@ def mark_exact_duplicates(keyed: DataFrame, o: Options = DEFAULTS) -> DataFrame:
 
     ``kept`` is a struct (price, row_idx, listing_id), null for rows that stay. The first
     row wins ties and unpriced rows come last. The cheapest row of a key is an aggregate,
-    merged before the shuffle; it is then looked up by slices of the key, so that a key
-    with very many copies is never handled by one task. Rows without an address have a
-    slice of their own each and find nothing.
+    merged before the shuffle and written; it is then looked up by slices of the key, as many
+    as its copies call for, so that a key with very many copies is never handled by one task.
+    Rows without an address have a slice of their own each and find nothing.
     """
     named = F.col("address_norm") != ""
-    rows = keyed.withColumn("slice", F.when(named, slice_of("row_idx", o).cast("bigint")).otherwise(F.xxhash64("row_idx")))
     rank = F.struct(
         F.col("asking_price").isNull().alias("unpriced"),
         F.col("asking_price").alias("price"),
         F.col("row_idx").alias("row_idx"),
         F.col("listing_id").alias("listing_id"),
     )
-    cheapest = (
-        rows.filter(named)
-        .groupBy(*EXACT_KEY)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("kept"), F.collect_set("slice").alias("slices"))
-        .filter(F.col("n") > 1)
-        .select(*[F.col(k).alias(f"kept_{k}") for k in EXACT_KEY], "kept", F.explode("slices").alias("kept_slice"))
+    counted = keyed.filter(named).groupBy(*EXACT_KEY).agg(F.count(F.lit(1)).alias(KEY_ROWS), F.min(rank).alias("kept"))
+    counted = cut_lineage(counted.filter(F.col(KEY_ROWS) > 1))
+    dealt = deal(keyed, counted, EXACT_KEY, "row_idx", o)
+    rows = dealt.withColumn("slice", F.when(named, F.col("slice")).otherwise(F.xxhash64("row_idx")))
+    cheapest = copies(counted, o).select(
+        *[F.col(k).alias(f"kept_{k}") for k in EXACT_KEY], "kept", F.col("slice").alias("kept_slice")
     )
     same_key = (F.col("slice") == F.col("kept_slice")) & (F.col("address_norm") == F.col("kept_address_norm"))
     for key in EXACT_KEY[1:]:

@@ -26,7 +26,7 @@ from ..functions.scoring import features, scoring_rooms
 from ..options import DEFAULTS, Options
 from ..session import cut_lineage
 from .market import MARKET, market_quantiles, sales_cells
-from .spread import keys_with_slices, look_up
+from .spread import counted_keys, deal, look_up
 
 QUANTILES = ["q10", "q50", "q90"]
 PREDICTION = ["predicted_m2_exact", "low_m2", "high_m2"]
@@ -90,11 +90,11 @@ class StatisticalModel:
         return predict_by_market(requests, self.quantiles)
 
     def metrics(self) -> DataFrame:
-        sliced = self.cells.filter(F.col("price").isNotNull()).withColumn(
-            "slice", F.pmod(F.xxhash64("price"), F.lit(self.options.slices)).cast("int")
-        )
-        known = keys_with_slices(sliced, MARKET).join(self.quantiles, MARKET)
-        return _errors(look_up(sliced, known, MARKET), "statistical")
+        priced = self.cells.filter(F.col("price").isNotNull())
+        markets = counted_keys(priced, MARKET)
+        known = markets.join(self.quantiles, MARKET)
+        dealt = deal(priced, markets, MARKET, "price", self.options)
+        return _errors(look_up(dealt, known, MARKET, self.options), "statistical")
 
 
 @dataclass(frozen=True)

@@ -13,7 +13,7 @@ from ..session import cut_lineage
 from .addresses import attach_answers
 from .comparables import PROBE, comparables
 from .models import ForestModel, StatisticalModel
-from .spread import keys_with_slices, look_up, slice_of
+from .spread import counted_keys, deal, look_up
 
 
 def with_confidence(figures: DataFrame) -> DataFrame:
@@ -59,11 +59,13 @@ def value(
     ``listings`` have zipcode, property_type, surface_m2, asking_price and row_idx. Value
     and interval depend on the first three only and are computed once per combination.
     """
-    rows = listings.filter(F.col("surface_m2").isNotNull()).withColumn("slice", slice_of("row_idx", o))
+    rows = listings.filter(F.col("surface_m2").isNotNull())
     rows = rows.withColumn("asking_price", F.col("asking_price").cast("bigint"))
-    figures = comparables(cut_lineage(keys_with_slices(rows, PROBE)), cells, o)
+    probes = counted_keys(rows, PROBE)
+    figures = comparables(probes, cells, o)
     requests = value_requests(figures, model, o).withColumnsRenamed({"freshness_days": "freshness_days_exact"})
-    return label(look_up(rows, requests, PROBE), o).drop("slice", "low_m2", "high_m2")
+    rows = deal(rows, probes, PROBE, "row_idx", o)
+    return label(look_up(rows, requests, PROBE, o), o).drop("slice", "low_m2", "high_m2")
 
 
 def write_memos(valued: DataFrame, answers: DataFrame | None = None, o: Options = DEFAULTS) -> DataFrame:

@@ -53,8 +53,8 @@ class Options:
     """Size of a market's quantile sketch; ranks are off by about 0.35 % of its prices."""
 
     # Physical knobs; none of them changes a result.
-    slices: int = 64
-    """How many ways the rows of one grouping key are spread in look-up joins."""
+    rows_per_slice: int = 20_000
+    """Rows of one key that a look-up join keeps together; a key with more is cut into slices."""
     bucket_width: float = 16.0
     """Width, in euros per square metre, of the histogram behind exact quantiles. Keep it
     below the usual spread of prices: wider buckets cost digits of the deviation."""
