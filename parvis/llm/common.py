@@ -114,16 +114,18 @@ def ordered_turns(conversations: DataFrame, *columns: Column) -> DataFrame:
     return keyed.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
-def look_up_counted(rows: DataFrame, table: DataFrame, keys: list[str], salt: list[str], per_slice: int = 20_000):
-    """Left join of ``rows`` to ``table``, which has one row per key with its number of rows as ``n``.
+def look_up_counted(
+    rows: DataFrame, table: DataFrame, keys: list[str], salt: list[str], how: str = "left", per_slice: int = 20_000
+) -> DataFrame:
+    """Join ``rows`` to ``table``, which has the number of ``rows`` of a key as ``n`` in each of the key's rows.
 
     A key is copied as often as its own rows need, rare keys once. Only keys of more than
     ``per_slice`` rows are looked up first, for the number of slices their rows are dealt to.
     """
-    slices = F.floor(F.col("n") / per_slice)
-    hot = store(table.filter(F.col("n") > per_slice).select(*keys, slices.alias("last")), "hot")
+    slices = F.floor(F.col("n") / per_slice).cast("long")
+    hot = store(table.filter(F.col("n") >= per_slice).select(*keys, slices.alias("last")).distinct(), "hot")
     dealt = rows.join(hot, keys, "left").withColumn(
         "slice", F.pmod(F.xxhash64(*salt), F.coalesce(F.col("last"), F.lit(0)) + 1)
     )
-    copies = table.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("n") > per_slice, slices).otherwise(0).cast("long"))))
-    return dealt.join(copies.drop("n"), [*keys, "slice"], "left").drop("slice", "last")
+    copies = table.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), slices)))
+    return dealt.join(copies.drop("n"), [*keys, "slice"], how).drop("slice", "last")

@@ -112,6 +112,22 @@ def test_tiles(seed):
         assert sum(n for *_, n in tiles) == tiles_oracle(item.tolist(), [x or -1 for x in doc.tolist()], min_match)
 
 
+def contaminated_oracle(docs, items, min_match=5, coverage=0.8):
+    """(doc_id, item_id) by plain tiling of every pair, documents cut down to the runs that they share."""
+    words_of = lambda t: re.findall(r"[^ \t-\r]+", re.sub(r"[!-/:-@\[-`{-~]", "", (t or "").lower()))
+    found = set()
+    for item_id, item in ((i, words_of(t)) for i, t in items):
+        size = min(min_match, len(item))
+        runs = {tuple(item[a : a + size]) for a in range(len(item) - size + 1)} if item else set()
+        for doc_id, doc in ((d, words_of(t)) for d, t in docs):
+            starts = [a for a in range(len(doc) - size + 1) if tuple(doc[a : a + size]) in runs] if runs else []
+            places = {p for a in starts for p in range(a, a + size)}
+            cut = [doc[p] if p in places else None for p in range(len(doc)) if p in places or p - 1 in places]
+            if starts and tiles_oracle(item, cut, size) >= coverage * len(item):
+                found.add((doc_id, item_id))
+    return found
+
+
 @pytest.fixture(scope="module")
 def benchmark(spark, texts):
     item = " ".join(texts[6].split()[:30])
@@ -130,14 +146,21 @@ def test_decontamination(spark, docs, texts, benchmark, empty):
     }
     extra = spark.createDataFrame(list(planted.items()), "doc_id long, text string")
     all_docs = docs.select("doc_id", "text").unionByName(extra)
-    for block_bytes in (16 << 20, 100):
-        got = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(all_docs, benchmark, block_bytes=block_bytes).collect()}
+    for filter_bits in (1 << 24, 64):
+        got = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(all_docs, benchmark, filter_bits=filter_bits).collect()}
         assert {(500, 1), (501, 1), (503, 5), (6, 1), (7, 6)} <= got
         assert not {502, 504, 8, 9, None, 0, 1} & {d for d, _ in got}
+        rows = [(r["doc_id"], r["text"]) for r in all_docs.collect()]
+        assert got == contaminated_oracle(rows, [(r["item_id"], r["text"]) for r in benchmark.collect()])
     clean = decontaminate.keep_clean(docs, benchmark)
     gone = {d for d, _ in got}
     assert clean.dtypes == docs.dtypes
     assert Counter(r["doc_id"] for r in clean.collect()) == Counter(r["doc_id"] for r in docs.collect() if r["doc_id"] not in gone)
+    named = docs.withColumns({c: F.lit("clash") for c in ("digest", "at", "seeds", "item", "last", "slice")})
+    assert decontaminate.keep_clean(named, benchmark).dtypes == named.dtypes
+    copies = spark.range(300).select(F.col("id").alias("doc_id"), F.lit(" ".join(words)).alias("text"))
+    assert Counter(r["item_id"] for r in decontaminate.matches(copies, benchmark).collect()) == {1: 300, 6: 300}
+    assert decontaminate.keep_clean(copies, benchmark).count() == 0
     assert decontaminate.matches(empty, benchmark).count() == 0
     assert decontaminate.keep_clean(docs, benchmark.limit(0)).count() == docs.count()
 
