@@ -139,7 +139,7 @@ def escaped_sql(text: str) -> str:
     return text
 
 
-# Rules, cuts and sums that SQL can express; DuckDB has no XXH64 on seeds, tokenizers or fitted models.
+# Rules, cuts, windows and sums that SQL can express; DuckDB has no XXH64 on seeds, tokenizers or fitted models.
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": """
         with lines as (
@@ -182,6 +182,33 @@ ORACLE_SQL: dict[str, str] = {
                case when page_id <> first_id then first_id end as refers_to
         from digits
     """,
+    "op9_substring_dedup": """
+        with split as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+') as words from documents
+        ),
+        placed as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as pos from split),
+        two as (select *, md5(word || ' ' || lead(word) over w) as k2 from placed window w as (partition by doc_id order by pos)),
+        four as (select *, md5(k2 || lead(k2, 2) over w) as k4 from two window w as (partition by doc_id order by pos)),
+        eight as (select *, md5(k4 || lead(k4, 4) over w) as k8 from four window w as (partition by doc_id order by pos)),
+        sixteen as (select *, md5(k8 || lead(k8, 8) over w) as k16 from eight window w as (partition by doc_id order by pos)),
+        windows as (
+            select doc_id, pos, word,
+                   md5(k16 || lead(k16, 16) over w || lead(k2, 32) over w || ' ' || lead(word, 34) over w) as key
+            from sixteen window w as (partition by doc_id order by pos)
+        ),
+        marked as (select *, key is not null and count(*) over (partition by key) > 1 as repeats from windows),
+        covered as (
+            select *, bool_or(repeats) over (partition by doc_id order by pos rows between 34 preceding and current row) as gone
+            from marked
+        ),
+        kept as (
+            select doc_id, count(*) as n_words, count(*) filter (where gone) as n_removed,
+                   string_agg(word, ' ' order by pos) filter (where not gone) as body
+            from covered group by doc_id
+        )
+        select doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(body, '')) as kept_sha256
+        from documents left join kept using (doc_id)
+    """,
     "op11_prefix_trie": f"""
         with crc as ({CRC_TABLE}),
         turns as (
