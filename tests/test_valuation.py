@@ -3,6 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
+from checks.queries import QUERIES
 from parvis import fixed
 from parvis.functions import memo, scoring
 from parvis.functions.answers import parse_address_answer, parse_memo_answer
@@ -207,3 +209,16 @@ def test_later_answers_win_and_repeats_fail(spark, make_listings):
     assert (got.response_text, got.answered_by) == (rows[1][1], "second")
     with pytest.raises(Exception, match="several answers"):
         enrich_addresses(listings, answers.drop("answered_at")).collect()
+
+
+def test_listings_that_share_an_id_get_their_own_answers(spark, tmp_path):
+    """From 1,000,000 parts on, the listing ids of the derived table repeat."""
+    parts = [(k, "hot ring", "Brand#1", 3) for k in (100000, 1000000, 1000001, 1000004)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    rows = QUERIES["llm_address_parse"](spark, str(tmp_path)).collect()
+    assert len(rows) == queries.unplaced(spark, str(tmp_path)).count() > len({r.listing_id for r in rows})
+    answers = queries.address_answers(spark, str(tmp_path))
+    told = {r.row_idx: r.response_text for r in answers.collect()}
+    assert "1 rue Dupont" in told[100000] and told[1000001] == '{"address": null}'
+    assert told[1000004].strip() == '{"address": "quai UPF100000", "zipcode": null}'
+    assert QUERIES["llm_merge"](spark, str(tmp_path)).count() == len(rows)
