@@ -5,7 +5,8 @@ import pytest
 
 from parvis.operators.components import components
 from parvis.operators.dedup import exact_log, exact_survivors, key_columns, mark_exact_duplicates
-from parvis.operators.near import measure, near_pairs
+from parvis.operators import resolve
+from parvis.operators.near import measure, near_pairs, with_characters
 from parvis.operators.resolve import passed_over
 from parvis.options import Options
 from parvis.plans.ingest import dedup_summary, deduplicate
@@ -300,3 +301,38 @@ def test_components(spark):
             root[a] = root[b] = min(root[a], root[b])
     got = components(spark.createDataFrame(edges, "i long, j long")).collect()
     assert {r.node: r.root for r in got} == root and len(got) == len(root)
+
+
+def test_characters_never_differ_by_more_than_the_edits(spark):
+    rng = random.Random(6)
+    letters = "abcdefgz 0123456789#é北😀"
+    rows = []
+    for n in range(150):
+        text = [rng.choice(letters) for _ in range(rng.randint(1, 30))]
+        copy = list(text)
+        for _ in range(rng.randint(0, 4)):
+            at, kind = rng.randrange(len(copy) + 1), rng.randrange(3)
+            copy[at : at + (kind > 0)] = [rng.choice(letters)] * (kind < 2)
+        rows += [(2 * n, "".join(text)), (2 * n + 1, "".join(copy))]
+    held = {r.row_idx: r for r in with_characters(spark.createDataFrame(rows, "row_idx long, address_norm string")).collect()}
+    edits = spark.createDataFrame([(n, rows[2 * n][1], rows[2 * n + 1][1]) for n in range(150)], "n int, a string, b string")
+    for r in edits.selectExpr("n", "levenshtein(a, b) as d").collect():
+        a, b = held[2 * r.n].characters, held[2 * r.n + 1].characters
+        for x, y in ((a, b), (b, a)):
+            assert sum(((p & ~q) & (2**64 - 1)).bit_count() for p, q in zip(x, y)) <= r.d
+
+
+def test_busy_zips_are_resolved_in_rounds_before_their_matches_are_listed(spark, make_listings, monkeypatch):
+    """4 * 60 copies that all match: 1,770 pairs a zip, above what the option lets a task replay."""
+    rows = [
+        {"raw_address": f"{10 + k // 4} rue du long chemin vert", "code_postal": k % 4, "surface_m2": 30.0, "asking_price": 500000 + k}
+        for k in range(240)
+    ]
+    listed = []
+    plain = resolve.replay_units
+    monkeypatch.setattr(resolve, "replay_units", lambda pairs, o: listed.append(pairs.count()) or plain(pairs, o))
+    named = [{"listing_id": f"L{i}", **r} for i, r in enumerate(rows)]
+    want = [w for z in range(4) for w in turn_by_turn([r for r in named if r["code_postal"] == z])]
+    got = deduplicate(make_listings(rows), Options(replay_pairs=20, first_round_rows=16))[1].collect()
+    assert sorted((r.removed_id, r.kept_id) for r in got) == sorted(want)
+    assert sum(listed) < 1770
