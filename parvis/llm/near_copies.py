@@ -1,12 +1,14 @@
-"""Near copies by exact Jaccard similarity of five-word shingles.
+"""Near copies by SimHash pivot tables and exact Jaccard similarity of five-word shingles.
 
 Two documents are linked if the sets of their shingles have a similarity of ``LEAST`` or more.
-Candidates meet in ``BANDS`` bands of ``ROWS`` MinHash values: a pair of similarity s meets
+The first candidates are those of ``simhash``: fingerprints within 3 bits, found by pivot
+distance tables. At a similarity of 0.8 most fingerprints differ by more bits, so what these
+links leave apart also meets in ``BANDS`` bands of ``ROWS`` MinHash values: a pair of similarity s meets
 with probability 1 - (1 - s ** ROWS) ** BANDS, which is 0.9996 at 0.8. Every candidate pair
 is then verified on its whole shingle sets, so no pair below the limit is ever linked.
 
-Documents with equal sets are one class. In each band group all members are first compared
-with one of them, and with another one where several components remain. Members which that leaves in different components meet only if they share
+Documents with equal sets are one class. In each band group of several components all members
+are first compared with one of them, and with another one where several components remain. Members which that leaves in different components meet only if they share
 one of their rarest shingles, as any pair that is similar enough does; a crowd that shares a
 template and no more brings no pairs together. No group and no partner is capped.
 
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import per_row, rolling, store, utf8, word_hashes
 from .components import components
-from .simhash import _first, keepers_only
+from .simhash import _first, fingerprint, keepers_only, near_edges
 
 SIZE = 5
 LEAST = (4, 5)
@@ -80,29 +82,31 @@ def bands(found: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
 
 
 def with_bands(docs: DataFrame, *keep) -> DataFrame:
-    """``keep`` columns, ``node`` (the set as a signed long), its ``size`` and ``bands``."""
+    """``keep`` columns, ``node`` (the set as a signed long), its ``size`` and ``bands``, and ``fp``, the SimHash."""
     rows = docs.select(*keep, utf8("text").alias("body"))
 
     def make():
         multipliers = factors()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, keys, fps = [], [], [], []
             for text in batch.column("body").to_pylist():
                 found = shingles(text)
                 nodes.append(set_id(found))
                 sizes.append(len(found))
+                fps.append(fingerprint(text))
                 keys.append(bands(found, multipliers) if len(found) else np.empty(0, np.uint64))
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys).view(np.int64)))
             names = [c for c in batch.schema.names if c != "body"]
             made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), lists]
-            return pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *made], [*names, "node", "size", "bands"])
+            made.append(pa.array(np.array(fps, np.uint64).view(np.int64)))
+            return pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *made], [*names, "node", "size", "bands", "fp"])
 
         return work
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "body")
-    return per_row(rows, schema + ", node long, size long, bands array<long>", make)
+    return per_row(rows, schema + ", node long, size long, bands array<long>, fp long", make)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -178,24 +182,40 @@ def _fit(x: Column, y: Column) -> Column:
     return LEAST[1] * F.least(x, y) >= LEAST[0] * F.greatest(x, y)
 
 
-def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): edges that connect all similar candidates of ``classes`` (node, size, bands)."""
+def by_fingerprint(prints: DataFrame) -> DataFrame:
+    """(a, b): candidates among the nodes of ``prints`` (fp, node).
+
+    Nodes of one fingerprint meet the least of them, and the least nodes of two fingerprints
+    that the pivot tables link meet each other.
+    """
+    prints = store(prints.distinct(), "prints")
+    leads = store(prints.groupBy("fp").agg(F.min("node").alias("lead")), "leads")
+    edges = store(near_edges(leads.select("fp")), "edges")
+    ends = [leads.select(F.col("fp").alias(c), F.col("lead").alias(f"lead_{c}")) for c in ("a", "b")]
+    across = edges.join(ends[0], "a").join(ends[1], "b").select(F.col("lead_a").alias("a"), F.col("lead_b").alias("b"))
+    pairs = prints.join(leads, "fp").select(F.col("lead").alias("a"), F.col("node").alias("b")).unionAll(across)
+    return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def links(docs: DataFrame, classes: DataFrame, prints: DataFrame) -> DataFrame:
+    """(a, b): edges that connect all similar candidates of ``classes`` (node, size, bands), with ``prints`` (fp, node)."""
     keyed = classes.select("node", "size", F.explode("bands").alias("key"))
-    groups = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "size")).alias("lead")).filter("n > 1")
-    rows = store(keyed.join(groups, "key").select("key", "node", "size", "lead"), "bands")
-    sets = store(sets_of(docs, rows.select("node").distinct()), "sets")
-    stars = rows.filter((F.col("node") != F.col("lead.node")) & _fit(F.col("size"), F.col("lead.size")))
-    tried = store(stars.select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    groups = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    rows = store(keyed.join(groups, "key").select("key", "node", "size"), "bands")
+    tried = store(by_fingerprint(prints), "tried")
+    wanted = rows.select("node").union(tried.select("a")).union(tried.select("b")).distinct()
+    sets = store(sets_of(docs, wanted), "sets")
     sure = store(verified(tried, sets), "links")
     rooted = _rooted(rows, sure)
-    for _ in range(MORE_LEADS):
+    # One lead for all groups of the same members, then others.
+    for turn in [F.lit(0), *[F.xxhash64("key", "node")] * MORE_LEADS]:
         other = (F.col("root") != F.col("lead.root")) & _fit(F.col("size"), F.col("lead.size"))
         ends = F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")
-        stars = rooted.join(_mixed(rooted), "key").filter(other).select(*ends).distinct()
+        stars = rooted.join(_mixed(rooted, turn), "key").filter(other).select(*ends).distinct()
         stars = store(stars.join(tried, ["a", "b"], "left_anti"), "stars")
         tried, sure = tried.unionAll(stars), sure.unionAll(store(verified(stars, sets), "links"))
         rooted = _rooted(rows, sure)
-    open_nodes = rooted.join(_mixed(rooted), "key").select("node", "size", "root").distinct()
+    open_nodes = rooted.join(_mixed(rooted, F.lit(0)), "key").select("node", "size", "root").distinct()
     rest = store(sharing_a_rare_shingle(store(open_nodes, "rooted"), sets), "rest")
     return sure.unionAll(verified(rest.join(tried, ["a", "b"], "left_anti"), sets))
 
@@ -206,9 +226,9 @@ def _rooted(rows: DataFrame, sure: DataFrame) -> DataFrame:
     return rows.join(roots, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
 
 
-def _mixed(rooted: DataFrame) -> DataFrame:
-    """(key, lead): groups of several components, each with a lead that other groups hardly share."""
-    lead = F.min(F.struct(F.xxhash64("key", "node").alias("turn"), "node", "size", "root")).alias("lead")
+def _mixed(rooted: DataFrame, turn: Column) -> DataFrame:
+    """(key, lead): groups of several components, each with the lead that comes first by ``turn``."""
+    lead = F.min(F.struct(turn.alias("turn"), "node", "size", "root")).alias("lead")
     found = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), lead)
     return found.filter("low < high").select("key", "lead")
 
@@ -274,6 +294,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
         F.min(_first("doc_id", "text_hash")).alias("least"), F.first("size").alias("size"), F.first("bands").alias("bands")
     )
     classes = store(classes, "classes")
-    roots = store(components(store(links(docs, classes.select("node", "size", "bands")), "edges")), "roots")
+    roots = store(components(store(links(docs, classes.select("node", "size", "bands"), rows.select("fp", "node")), "edges")), "roots")
     rooted = classes.select("node", "least").join(roots, "node", "left").select("least", F.coalesce("root", "node").alias("root"))
-    return keepers_only(docs, rooted.groupBy("root").agg(F.min("least").alias("first")))
+    return keepers_only(docs, rows, rooted.groupBy("root").agg(F.min("least").alias("first")))

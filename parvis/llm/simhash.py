@@ -31,6 +31,7 @@ from .common import Batches, look_up, packed, per_row, store, utf8
 from .components import components
 
 LIMIT = 3
+FILTER_BITS = 26
 N_PIVOTS = 16
 PARTS = [(0, 13), (13, 26), (26, 39), (39, 52), (52, 64)]
 
@@ -214,15 +215,41 @@ def near_duplicates(docs: DataFrame, chunk: int = 4096, per_slice: int = 20_000)
 
 def keep_one(docs: DataFrame, chunk: int = 4096) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest ``doc_id``."""
-    return keepers_only(docs, classes_and_components(_fingerprinted(docs), chunk))
+    rows = _fingerprinted(docs)
+    return keepers_only(docs, rows, classes_and_components(rows, chunk))
+
+
+def _marked(keys: DataFrame, names: list[str]) -> DataFrame:
+    """(bucket, bits): a bitmap of 8 MB at most that holds a hash of every row of ``keys``."""
+    spots = keys.select((F.pmod(F.xxhash64(*names), F.lit(1 << FILTER_BITS)) + 1).alias("spot"))  # Spark's bitmaps count from 1
+    return spots.groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits")
+    )
 
 
-def keepers_only(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents of ``docs`` that are the ``first`` of a row of ``found``."""
+def _with_mark(rows: DataFrame, marks: DataFrame, names: list[str]) -> DataFrame:
+    """``rows`` with ``marked``: true for all keys that ``marks`` holds and for few others."""
+    spot = F.pmod(F.xxhash64(*names), F.lit(1 << FILTER_BITS)) + 1
+    found = rows.withColumn("bucket", F.bitmap_bucket_number(spot)).withColumn("place", F.bitmap_bit_position(spot))
+    found = found.join(F.broadcast(marks), "bucket", "left")
+    byte = F.conv(F.hex(F.substr("bits", (F.floor(F.col("place") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, F.pmod("place", F.lit(8)).cast("int")).bitwiseAND(1)
+    return found.withColumn("marked", F.coalesce(bit == 1, F.lit(False))).drop("bucket", "place", "bits")
+
+
+def keepers_only(docs: DataFrame, rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The documents of ``docs`` that are the ``first`` of a row of ``found``; ``rows`` has their doc_id and text_hash.
+
+    Only documents that may have to go, by a bitmap of the ids that do, are shuffled with their texts.
+    """
     keepers = found.select("first.none", F.coalesce("first.id", F.lit(0)).alias("id"), "first.text_hash").distinct()
     own = [F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id")]
     keys = ["none", "id", "text_hash"]
+    counted = rows.select(*own, "text_hash").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.join(keepers.withColumn("first", F.lit(True)), keys, "left").filter("first is null or n > 1")
+    marks = store(_marked(counted, keys), "marks")
+    dealt = _with_mark(packed(docs, *own, F.xxhash64("text").alias("text_hash")), marks, keys)
     # The window has the keys of the join, so texts are shuffled once.
     turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("row")))
-    rows = packed(docs, *own, F.xxhash64("text").alias("text_hash"))
-    return rows.join(keepers, keys).withColumn("turn", turn).filter("turn = 1").select("row.*")
+    doubtful = dealt.filter("marked").join(keepers, keys).withColumn("turn", turn).filter("turn = 1")
+    return dealt.filter(~F.col("marked")).select("row.*").unionAll(doubtful.select("row.*"))

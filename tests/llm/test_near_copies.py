@@ -136,3 +136,29 @@ def test_crowd_of_copies_at_every_distance(spark):
     assert len(met) < 1.2 * len(similar)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert Counter(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == keepers_oracle(list(enumerate(texts)))
+
+
+def test_the_stage_links_by_pivot_tables_first(spark, monkeypatch):
+    """Texts within 3 bits are candidates of SimHash; only those similar enough are linked."""
+    rng = random.Random(5)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(900)]
+    texts = [" ".join(base), " ".join(base[:-1] + ["end"]), " ".join(reversed(base)), "", "one two"]
+    bits = simhash.fingerprint(texts[0].encode()) ^ simhash.fingerprint(texts[1].encode())
+    assert bits.bit_count() <= simhash.LIMIT
+    asked = []
+    plain = near_copies.near_edges
+    monkeypatch.setattr(near_copies, "near_edges", lambda classes: asked.append(classes.count()) or plain(classes))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = near_copies.with_bands(docs, docs.doc_id)
+    pairs = {tuple(sorted(r)) for r in near_copies.by_fingerprint(made.select("fp", "node")).collect()}
+    nodes = {r.doc_id: r.node for r in made.collect()}
+    assert tuple(sorted((nodes[0], nodes[1]))) in pairs
+    assert Counter(r.doc_id for r in corpus_pipeline.near_deduplication(spark, docs, "").collect()) == Counter([0, 2, 3, 4])
+    assert asked
+
+
+def test_only_doubtful_texts_are_marked(spark):
+    keys = spark.range(0, 100_000, 7).toDF("id")
+    found = simhash._with_mark(spark.range(100_000).toDF("id"), simhash._marked(keys, ["id"]), ["id"])
+    marked = {r.id for r in found.filter("marked").collect()}
+    assert set(range(0, 100_000, 7)) <= marked and len(marked) < 14_286 + 200
