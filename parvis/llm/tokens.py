@@ -38,7 +38,7 @@ def word_tokens(path: str) -> WordTokens:
 
 
 class WordTokens:
-    CACHE = 1_500_000
+    CACHE = 500_000
     """Cuts remembered; beyond that the memory starts anew."""
     LONGEST = 64
     """Letters of a cut that is remembered."""
