@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import packed, per_row, store, utf8
+from .simhash import _marked, _with_mark
 
 SYMBOLS = b"#*$%&|<>"
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -201,11 +202,21 @@ def judge(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     return measured.withColumn("kept", ~F.col("base_failed") & ~cutoffs.rejected())
 
 
+def measure_labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, lang, features, base_failed) of the labelled documents.
+
+    A bitmap of their ids tells which texts to measure, so that no text is shuffled for the join.
+    """
+    known = store(labels.filter("quality is not null").select("doc_id").distinct(), "known")
+    marks = store(_marked(known, ["doc_id"]), "marks")
+    perhaps = _with_mark(docs.select("doc_id", "lang", "text"), marks, ["doc_id"]).filter("marked")
+    measured = store(measure(perhaps, F.col("doc_id"), F.col("lang")), "features")
+    return measured.join(known, "doc_id", "left_semi")
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """``docs`` without the documents that the rules reject."""
-    known = labels.filter("quality is not null").select("doc_id").distinct()
-    labelled = docs.select("doc_id", "lang", "text").join(known, "doc_id", "left_semi")
-    cutoffs = fit_cutoffs(store(measure(labelled, F.col("doc_id"), F.col("lang")), "features"), labels, **settings)
+    cutoffs = fit_cutoffs(measure_labelled(docs, labels), labels, **settings)
     rows = packed(docs, F.col("text"), F.col("lang"))
     measured = measure(rows, F.col("row"), F.col("lang"))
     return measured.filter(~F.col("base_failed") & ~cutoffs.rejected()).select("row.*")
