@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from parvis.operators import comparables
-from parvis.operators.market import sales_cells
+from parvis.operators import comparables, models
+from parvis.operators.market import derive_price_m2, sales_cells
 from parvis.operators.range_quantiles import _chunks
+from parvis.options import Options
 
 
 def plan(df):
@@ -32,3 +33,15 @@ def test_bands_are_ordered_by_surface_not_by_price(spark, make_sales, monkeypatc
     assert {r.surface_m2: (r.n_band, r.n_pool) for r in got} == {20.0: (3, 7), 25.0: (5, 7)}
     assert {r.surface_m2: r.s1 for r in got} == {20.0: 721.0, 25.0: 510.0}
     assert sorted(r.n for r in seen[0].filter("surface is not null").collect()) == [2, 3]
+
+
+def test_the_forest_reads_vectors_made_once(spark, make_sales, monkeypatch):
+    rows = [
+        {"id_mutation": f"M{i}", "code_postal": 75001, "type_local": "Maison", "surface_reelle_bati": 20.0 + i % 9, "valeur_fonciere": 1000.0 * (i + 1), "nombre_pieces_principales": 1}
+        for i in range(60)
+    ]
+    read, real = [], models.RandomForestRegressor.fit
+    monkeypatch.setattr(models.RandomForestRegressor, "fit", lambda self, df: read.append(df) or real(self, df))
+    model = models.fit_forest(derive_price_m2(make_sales(rows)), Options(n_trees=2, tree_depth=2))
+    assert "UDF" not in plan(read[0]) and "VectorAssembler" not in plan(read[0])
+    assert read[0].count() == 60 and model.metrics().first()["n_train"] == 60
