@@ -28,7 +28,7 @@ BASE = 0x9E3779B97F4A7C15
 SIZE_MARK = 0xC2B2AE3D27D4EB4F
 SHIFTS = (0, 20, 40)
 """Where a seed's three places in the filter begin; filters have at most 2**24 bits."""
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 """Texts whose words a task holds at once; a longer text is a part of its own."""
 _DROP = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 

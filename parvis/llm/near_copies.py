@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_row, rolling, store, utf8, word_hashes
+from .common import TEXT_PART, per_row, rolling, store, utf8, word_hashes
 from .components import components
 from .simhash import _first, fingerprint, keepers_only, near_edges
 
@@ -106,7 +106,7 @@ def with_bands(docs: DataFrame, *keep) -> DataFrame:
         return work
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "body")
-    return per_row(rows, schema + ", node long, size long, bands array<long>, fp long", make)
+    return per_row(rows, schema + ", node long, size long, bands array<long>, fp long", make, TEXT_PART)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
         return work
 
-    found = per_row(docs.select(utf8("text").alias("body")), "node long, members binary", make)
+    found = per_row(docs.select(utf8("text").alias("body")), "node long, members binary", make, TEXT_PART)
     return found.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("members").alias("members"))
 
 

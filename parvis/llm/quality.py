@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, per_row, store, utf8
+from .common import TEXT_PART, packed, per_row, store, utf8
 from .simhash import _marked, _with_mark
 
 SYMBOLS = b"#*$%&|<>"
@@ -87,7 +87,7 @@ def measure(docs: DataFrame, *keep: Column) -> DataFrame:
 
     rows = docs.select(*keep, utf8("text").alias("body"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "body")
-    measured = per_row(rows, schema + "".join(f", {n} long" for n in names), make)
+    measured = per_row(rows, schema + "".join(f", {n} long" for n in names), make, TEXT_PART)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return measured.withColumn("base_failed", failed)
 
